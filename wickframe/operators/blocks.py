@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wickframe.schema import SERIES, TIME, step_ms
 
-SUB = 256  # rows of a sub-block; row blocks start at multiples of it
+SUB = 512  # rows of a sub-block; row blocks start at multiples of it
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Layout:
     """Bucket length in candles of the timeframe, and block length in rows."""
 
     span: int = 65_536
-    rows: int = 60 * SUB
+    rows: int = 30 * SUB
 
 
 DEFAULT = Layout()
@@ -102,11 +102,15 @@ def index_series(
     keys=SERIES,
     time: str = TIME,
     layout: Layout = DEFAULT,
+    attributes: DataFrame | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Add ``_rn`` (0-based row number per series), ``_total`` and running aggregates.
 
     One shuffle of the rows. The summary has one row per ``layout.span`` candles, so the window
-    over a whole series runs on 1/65,536 of its rows with the default layout.
+    over a whole series runs on 1/65,536 of its rows with the default layout. ``attributes`` (one
+    row per series) and ``only`` (a condition on ``_total`` and the attributes) are applied to the
+    summary, so they reach the rows with the same join.
     """
     running = running or {}
     keys = list(keys)
@@ -123,6 +127,10 @@ def index_series(
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias("_total"),
         *[_carry(r.kind, f"_s_{n}", before).alias(f"_s_{n}") for n, r in running.items()],
     )
+    if attributes is not None:
+        carry = carry.join(attributes, keys, "left")
+    if only is not None:
+        carry = carry.filter(only)
     w = Window.partitionBy(*keys, "_tb").orderBy(time)
     out = src.join(carry, [*keys, "_tb"]).withColumns(
         {

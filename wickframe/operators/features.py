@@ -21,11 +21,11 @@ from wickframe.operators.blocks import (
     index_series,
     over_block,
     own,
-    rolled,
+    rolling,
     row_blocks,
 )
-from wickframe.operators.ewm import Ewm, with_ewm
-from wickframe.operators.quantiles import exact_quantiles
+from wickframe.operators.quantiles import series_quantiles
+from wickframe.operators.scans import Ewm, with_ewm
 from wickframe.schema import DEFAULT_PERIODS, OHLCV, PERIODS_PER_YEAR, SERIES, TIME, lookup, require
 
 EPS = 1e-8
@@ -43,28 +43,32 @@ class Indicator:
 
 
 def with_indicators(
-    df: DataFrame, indicators: list[Indicator], layout: Layout = DEFAULT, keep_index: bool = False
+    df: DataFrame,
+    indicators: list[Indicator],
+    layout: Layout = DEFAULT,
+    keep: tuple[str, ...] = (),
+    attributes: DataFrame | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
-    """Compute several indicators in one pass and return the input columns plus their outputs."""
-    halo = max(
-        [i.halo for i in indicators]
-        + [c.halo for i in indicators for lv in i.levels.values() for c in lv.values() if isinstance(c, Ewm)]
-    )
-    running = {k: v for i in indicators for k, v in i.running.items()}
+    """Compute several indicators in one pass and return the input columns plus their outputs.
+
+    ``attributes`` and ``only`` are handed to ``index_series``; ``keep`` names further columns of
+    the pass to return.
+    """
     levels: dict[int, dict] = {}
     for i in indicators:
         for n, cols in i.levels.items():
             levels.setdefault(n, {}).update(cols)
+    halo = max([i.halo for i in indicators] + [c.halo for lv in levels.values() for c in lv.values() if isinstance(c, Ewm)])
+    running = {k: v for i in indicators for k, v in i.running.items()}
     base = [c for c in df.columns if c not in ("_rn", "_total")]
-    out = row_blocks(index_series(df, running, layout=layout), halo, layout)
+    indexed = index_series(df, running, layout=layout, attributes=attributes, only=only)
+    out = row_blocks(indexed, halo, layout)
     for n in sorted(levels):
         plain = {k: c for k, c in levels[n].items() if not isinstance(c, Ewm)}
-        if plain:
-            out = out.withColumns(plain)
-        out = with_ewm(out, {k: c for k, c in levels[n].items() if isinstance(c, Ewm)})
+        out = with_ewm(out, {k: c for k, c in levels[n].items() if isinstance(c, Ewm)}, plain)
     outputs = list(dict.fromkeys(o for i in indicators for o in i.outputs if o not in base))
-    index = ["_rn", "_total"] if keep_index else []
-    return own(out.select(*base, *index, *outputs, "_own", "_blk", "_sub"))
+    return own(out.select(*base, *outputs, *keep, "_own", "_blk", "_sub"))
 
 
 # -- indicator definitions ---------------------------------------------------------------------
@@ -78,6 +82,11 @@ def _prev(c: str = "close", k: int = 1) -> Column:
     return F.lag(c, k).over(over_block())
 
 
+def _roll(fn, c: str, n: int, first: int = 0) -> Column:
+    """``fn`` over the last ``n`` rows of a column that is null only in the ``first`` rows of a series."""
+    return F.when(F.col("_rn") >= first + n - 1, fn(c).over(rolling(n)))
+
+
 def returns_def() -> Indicator:
     return Indicator(
         ("return_pct", "log_return"),
@@ -94,7 +103,7 @@ def returns_def() -> Indicator:
 
 def moving_averages_def(windows=(7, 25, 99)) -> Indicator:
     return Indicator(
-        tuple(f"ma_{n}" for n in windows), {0: {f"ma_{n}": rolled(F.avg, "close", n) for n in windows}}, max(windows) - 1
+        tuple(f"ma_{n}" for n in windows), {0: {f"ma_{n}": _roll(F.avg, "close", n) for n in windows}}, max(windows)
     )
 
 
@@ -147,10 +156,10 @@ def rsi_simple_def(n: int = 14) -> Indicator:
         {
             0: {"_prev_close": _prev()},
             1: {"_up": F.greatest(up, F.lit(0.0) * up), "_down": F.greatest(-up, F.lit(0.0) * up)},
-            2: {"_mean_up": rolled(F.avg, "_up", n), "_mean_down": rolled(F.avg, "_down", n)},
+            2: {"_mean_up": _roll(F.avg, "_up", n, 1), "_mean_down": _roll(F.avg, "_down", n, 1)},
             3: {"rsi_14": 100 - 100 / (1 + F.col("_mean_up") / (F.col("_mean_down") + EPS))},
         },
-        n,
+        n + 1,
     )
 
 
@@ -164,14 +173,14 @@ def bollinger_def(n: int = 20, k: float = 2.0, eps: float = 0.0) -> Indicator:
     return Indicator(
         ("bb_mid", "bb_upper", "bb_lower", "bb_width", "bb_pct"),
         {
-            0: {"bb_mid": rolled(F.avg, "close", n), "_bb_std": rolled(F.stddev_samp, "close", n)},
+            0: {"bb_mid": _roll(F.avg, "close", n), "_bb_std": _roll(F.stddev_samp, "close", n)},
             1: {
                 "bb_upper": F.col("bb_mid") + k * F.col("_bb_std"),
                 "bb_lower": F.col("bb_mid") - k * F.col("_bb_std"),
             },
             2: {"bb_width": rel, "bb_pct": pos},
         },
-        n - 1,
+        n,
     )
 
 
@@ -197,24 +206,28 @@ def atr_wilder_def() -> Indicator:
 
 
 def atr_simple_def(n: int = 14) -> Indicator:
-    return Indicator(("atr_14",), {**true_range_def().levels, 2: {"atr_14": rolled(F.avg, "true_range", n)}}, n)
+    return Indicator(("atr_14",), {**true_range_def().levels, 2: {"atr_14": _roll(F.avg, "true_range", n)}}, n)
 
 
 def volume_def(n: int = 20, eps: float = 0.0) -> Indicator:
     mean = F.col("volume_ma_20")
     ratio = F.col("volume") / (mean + eps) if eps else F.try_divide(F.col("volume"), _nz(mean))
     return Indicator(
-        ("volume_ma_20", "volume_ratio"), {0: {"volume_ma_20": rolled(F.avg, "volume", n)}, 1: {"volume_ratio": ratio}}, n - 1
+        ("volume_ma_20", "volume_ratio"), {0: {"volume_ma_20": _roll(F.avg, "volume", n)}, 1: {"volume_ratio": ratio}}, n
     )
 
 
 def rolling_vol_def(n: int = 30, annualise: bool = True) -> Indicator:
-    if annualise:
-        periods = lookup(PERIODS_PER_YEAR, F.col("timeframe"), DEFAULT_PERIODS)
-        vol = rolled(F.stddev_samp, "log_return", n) * F.sqrt(periods)
-    else:
-        vol = rolled(F.stddev_samp, "return_pct", n)
-    return Indicator(("rolling_vol_30",), {**returns_def().levels, 2: {"rolling_vol_30": vol}}, n)
+    scale = F.sqrt(lookup(PERIODS_PER_YEAR, F.col("timeframe"), DEFAULT_PERIODS)) if annualise else F.lit(1.0)
+    source = "log_return" if annualise else "return_pct"
+    return Indicator(
+        ("rolling_vol_30",),
+        {
+            **returns_def().levels,
+            2: {"rolling_vol_30": _roll(F.stddev_samp, source, n, 1) * scale},
+        },
+        n + 1,
+    )
 
 
 def price_zscore_def(n: int = 60, eps: float = 0.0) -> Indicator:
@@ -222,10 +235,10 @@ def price_zscore_def(n: int = 60, eps: float = 0.0) -> Indicator:
     return Indicator(
         ("price_zscore",),
         {
-            0: {f"_mean_{n}": rolled(F.avg, "close", n), f"_std_{n}": rolled(F.stddev_samp, "close", n)},
+            0: {f"_mean_{n}": _roll(F.avg, "close", n), f"_std_{n}": _roll(F.stddev_samp, "close", n)},
             1: {"price_zscore": diff / (std + eps) if eps else F.try_divide(diff, _nz(std))},
         },
-        n - 1,
+        n,
     )
 
 
@@ -238,7 +251,7 @@ def drawdown_def(eps: float = 0.0) -> Indicator:
 def trend_regime_def() -> Indicator:
     a, b, c = (F.col(f"ma_{n}") for n in (7, 25, 99))
     regime = F.when((a > b) & (b > c), "Bull").when((a < b) & (b < c), "Bear").otherwise("Sideways")
-    return Indicator(("regime",), {**moving_averages_def().levels, 1: {"regime": regime}}, 98)
+    return Indicator(("regime",), {**moving_averages_def().levels, 1: {"regime": regime}}, 99)
 
 
 # -- operators ----------------------------------------------------------------------------------
@@ -275,16 +288,27 @@ def drawdown(df: DataFrame, layout: Layout = DEFAULT, eps: float = 0.0) -> DataF
     return drop_index(out).drop("_peak")
 
 
-def vol_regime(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
-    """Low/Mid/High by the 33 % and 66 % quantile of ``atr_14`` over the whole series."""
-    out = df if "atr_14" in df.columns else atr_wilder(df, layout)
-    return _label_vol_regime(out, exact_quantiles(out, SERIES, "atr_14", {"_q33": 0.33, "_q66": 0.66}))
+def atr_thresholds(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
+    """33 % and 66 % quantile of the Wilder ATR per series."""
+    candles = df.select(*SERIES, TIME, "high", "low", "close")
+    return series_quantiles(
+        lambda only: with_indicators(candles, [atr_wilder_def()], layout, only=only),
+        SERIES,
+        "atr_14",
+        {"_q33": 0.33, "_q66": 0.66},
+    ).drop("n")
 
 
-def _label_vol_regime(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+def vol_regime_def() -> Indicator:
+    """Low/Mid/High by thresholds of ``atr_14`` that are series attributes."""
     atr = F.col("atr_14")
     label = F.when(atr >= F.col("_q66"), "High").when(atr <= F.col("_q33"), "Low").otherwise("Mid")
-    return df.join(thresholds.drop("n"), list(SERIES), "left").withColumn("vol_regime", label).drop("_q33", "_q66")
+    return Indicator(("atr_14", "vol_regime"), {**atr_wilder_def().levels, 3: {"vol_regime": label}}, 1)
+
+
+def vol_regime(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
+    """Low/Mid/High by the 33 % and 66 % quantile of ``atr_14`` over the whole series."""
+    return with_indicators(df, [vol_regime_def()], layout, attributes=atr_thresholds(df, layout))
 
 
 def calendar_parts(df: DataFrame) -> DataFrame:
@@ -366,9 +390,8 @@ def engineer_features(df: DataFrame, drop_warmup_rows: bool = True, layout: Layo
     """
     require(df, REQUIRED_INPUT)
     candles = df.select(*SERIES, TIME, *OHLCV)
-    atr = with_indicators(candles, [atr_wilder_def()], layout).select(*SERIES, "atr_14")
-    thresholds = exact_quantiles(atr, SERIES, "atr_14", {"_q33": 0.33, "_q66": 0.66})
-    out = _label_vol_regime(with_indicators(candles, train_indicators(), layout), thresholds)
+    indicators = [*train_indicators(), vol_regime_def()]
+    out = with_indicators(candles, indicators, layout, attributes=atr_thresholds(candles, layout))
     out = encode_cyclical(calendar_parts(out))
     if drop_warmup_rows:
         out = drop_warmup(out)

@@ -9,6 +9,31 @@ ACCURACY = 10_000  # rank error of the sketch is n / ACCURACY
 MARGIN = 5.0 / ACCURACY
 BINS = 4_096
 GROUP_ROWS = 1_000_000  # groups up to this size use the built-in percentile
+MIN_LARGE = 10_000  # below it the bracket margin would be less than a few ranks
+
+
+def series_quantiles(build, keys, value: str, probs: dict[str, float], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Quantiles per series of a derived column, without evaluating it to learn the group sizes.
+
+    ``build(condition)`` returns the column for the series whose ``_total`` meets the condition.
+    """
+    keys, group_rows = list(keys), max(group_rows, MIN_LARGE)
+    names, ps = list(probs), [float(p) for p in probs.values()]
+
+    def part(condition):
+        x = build(condition)
+        return x.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+
+    small = _small(part(F.col("_total") <= group_rows), keys, names, ps)
+    return small.unionByName(_large(part(F.col("_total") > group_rows), keys, names, ps))
+
+
+def _small(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) -> DataFrame:
+    return (
+        x.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("_q"))
+        .select(*keys, "n", *[F.col("_q")[i].alias(c) for i, c in enumerate(names)])
+    )
 
 
 def exact_quantiles(
@@ -22,6 +47,7 @@ def exact_quantiles(
     is exact for both; a rank outside its bracket stops the job.
     """
     keys = list(keys)
+    group_rows = max(group_rows, MIN_LARGE)
     names, ps = list(probs), [float(p) for p in probs.values()]
     v = F.col(value) if isinstance(value, str) else value
     x = df.select(*keys, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -29,19 +55,15 @@ def exact_quantiles(
     on = [F.col(f"x.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     sized = x.alias("x").join(size.alias("s"), on).select(*[F.col(f"x.{k}") for k in keys], "_v", "n")
 
-    small = (
-        sized.filter(F.col("n") <= group_rows)
-        .groupBy(*keys)
-        .agg(F.first("n").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("_q"))
-        .select(*keys, "n", *[F.col("_q")[i].alias(c) for i, c in enumerate(names)])
-    )
+    small = _small(sized.filter(F.col("n") <= group_rows), keys, names, ps)
     return small.unionByName(_large(sized.filter(F.col("n") > group_rows), keys, names, ps))
 
 
 def _large(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) -> DataFrame:
     edges = [e for p in ps for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    x = x.select(*keys, "_v")
     sketch = x.groupBy(*keys).agg(
-        F.first("n").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", edges, ACCURACY).alias("_b"),
@@ -67,8 +89,7 @@ def _large(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) ->
     )
     # values inside a bracket keep their value; values below it are only counted
     counted = (
-        x.drop("n")
-        .join(packed, keys)
+        x.join(packed, keys)
         .select(*keys, "_v", F.explode("_bs").alias("_s"))
         .filter(F.col("_v") <= F.col("_s.hi"))
         .withColumn("_in", F.when(F.col("_v") >= F.col("_s.lo"), F.col("_v")))
