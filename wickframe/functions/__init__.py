@@ -1,0 +1 @@
+"""Small helpers shared by the operators."""

@@ -141,19 +141,23 @@ def index_series(
     return out.drop("_tb", "_off", *[f"_s_{n}" for n in running])
 
 
-def row_blocks(df: DataFrame, halo: int, layout: Layout = DEFAULT) -> DataFrame:
-    """Split an indexed series into row blocks, each with the ``halo`` rows before it.
+def row_blocks(df: DataFrame, halo: int, layout: Layout = DEFAULT, ahead: int = 0) -> DataFrame:
+    """Split an indexed series into row blocks, each with the ``halo`` rows before and ``ahead`` rows after it.
 
     Adds ``_blk``, ``_sub`` (global sub-block number) and ``_own``. Use ``over_block()`` for
     windows and ``own`` to drop the copied rows afterwards.
     """
-    rows = block_rows(halo, layout)
+    rows = block_rows(max(halo, ahead), layout)
     home = F.floor(F.col("_rn") / rows)
     out = df.withColumn("_sub", F.floor(F.col("_rn") / SUB))
-    if halo <= 0:
+    if halo <= 0 and ahead <= 0:
         return out.withColumns({"_blk": home, "_own": F.lit(True)})
     is_tail = (F.pmod(F.col("_rn"), F.lit(rows)) >= rows - halo) & ((home + 1) * rows < F.col("_total"))
-    out = out.withColumn("_blk", F.explode(F.when(is_tail, F.array(home, home + 1)).otherwise(F.array(home))))
+    targets = F.when(is_tail, F.array(home, home + 1)).otherwise(F.array(home))
+    if ahead > 0:
+        is_head = (F.pmod(F.col("_rn"), F.lit(rows)) < ahead) & (home > 0)
+        targets = F.when(is_head, F.concat(targets, F.array(home - 1))).otherwise(targets)
+    out = out.withColumn("_blk", F.explode(targets))
     return out.withColumn("_own", F.col("_blk") == home)
 
 

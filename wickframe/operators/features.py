@@ -49,6 +49,7 @@ def with_indicators(
     keep: tuple[str, ...] = (),
     attributes: DataFrame | None = None,
     only: Column | None = None,
+    ahead: int = 0,
 ) -> DataFrame:
     """Compute several indicators in one pass and return the input columns plus their outputs.
 
@@ -63,7 +64,7 @@ def with_indicators(
     running = {k: v for i in indicators for k, v in i.running.items()}
     base = [c for c in df.columns if c not in ("_rn", "_total")]
     indexed = index_series(df, running, layout=layout, attributes=attributes, only=only)
-    out = row_blocks(indexed, halo, layout)
+    out = row_blocks(indexed, halo, layout, ahead)
     for n in sorted(levels):
         plain = {k: c for k, c in levels[n].items() if not isinstance(c, Ewm)}
         out = with_ewm(out, {k: c for k, c in levels[n].items() if isinstance(c, Ewm)}, plain)
