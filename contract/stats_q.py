@@ -95,10 +95,10 @@ SQL = {
       select {K}, least(floor((x - lo) / ((hi - lo) / 80)), 79)::bigint as bin, count(*) as count, round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 80, 6) as "left",
       round(count(*) / (any_value(n) * (any_value(hi) - any_value(lo)) / 80), 6) as density from b group by 1, 2, 3""",
     "normal_overlay": f"""{D}, a as (select {K}, avg(x) as m, stddev_samp(x) as s, min(x) as lo, max(x) as hi from r group by 1, 2), g as (select *, unnest(range(0, 200)) as i from a)
-      select {K}, i, round(lo + i * (hi - lo) / 199, 6) as x, round(exp(-((lo + i * (hi - lo) / 199 - m) / s) ** 2 / 2) / (s * sqrt(2 * pi())), 6) as pdf from g""",
+      select {K}, i, round(lo + i * (hi - lo) / 199, 6) as x, round(exp(-1 * (((lo + i * (hi - lo) / 199 - m) / s) ** 2) / 2) / (s * sqrt(2 * pi())), 6) as pdf from g""",
     "kde_grid": f"""{D}, a as (select {K}, stddev_samp(x) * pow(count(*), -0.2::double) as h, count(*) as n, min(x) as lo, max(x) as hi from r group by 1, 2), g as (select *, unnest(range(0, 200)) as i from a),
       k as (select *, lo + i * (hi - lo) / 199 as gx from g)
-      select k.symbol, k.timeframe, i, round(any_value(gx), 6) as x, round(sum(exp(-((gx - r.x) / h) ** 2 / 2) / (n * h * sqrt(2 * pi()))), 6) as density from k join r using (symbol, timeframe) group by 1, 2, 3""",
+      select k.symbol, k.timeframe, i, round(any_value(gx), 6) as x, round(sum(exp(-1 * (((gx - r.x) / h) ** 2) / 2) / (n * h * sqrt(2 * pi()))), 6) as density from k join r using (symbol, timeframe) group by 1, 2, 3""",
 }
 
 from contract.features_q import BASE, features_cte  # noqa: E402

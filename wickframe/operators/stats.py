@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wickframe.functions.special import chi2_tail_even, normal_cdf, sample_kurtosis, sample_skew
 from wickframe.operators.blocks import DEFAULT, Layout, Running, drop_index, index_series, row_blocks, top_per_series
 from wickframe.operators.quantiles import exact_quantiles
+from wickframe.plans.lineage import cut
 from wickframe.schema import SERIES, TIME
 
 KEYS = list(SERIES)
@@ -113,12 +114,14 @@ KPSS_STAT = (0.347, 0.463, 0.574, 0.739)
 KPSS_P = (0.10, 0.05, 0.025, 0.01)
 
 
-def _lag_products(indexed: DataFrame, lags: Column, layout: Layout) -> DataFrame:
-    """Sums of ``e_t * e_(t-i)`` per series for i = 0..lags, computed block by block."""
-    most = indexed.select(F.max(lags)).first()[0]
-    if most is None:
-        most = 0
-    rows = row_blocks(indexed.withColumn("_lags", lags), int(most), layout)
+def _lag_products(x: DataFrame, attributes: DataFrame, layout: Layout) -> DataFrame:
+    """Sums of ``e_t * e_(t-i)`` per series for i = 0.._lags, computed block by block.
+
+    ``attributes`` holds the mean and ``_lags`` of every series; its largest value is the halo.
+    """
+    most = attributes.agg(F.max("_lags")).first()[0] or 0
+    indexed = index_series(x, layout=layout, attributes=attributes).withColumn("e", F.col("x") - F.col("mean"))
+    rows = row_blocks(indexed, int(most), layout)
 
     def products(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_rn")
@@ -138,45 +141,26 @@ def _lag_products(indexed: DataFrame, lags: Column, layout: Layout) -> DataFrame
 
 def kpss_test(df: DataFrame, column: str = "log_return", layout: Layout = DEFAULT) -> DataFrame:
     """Level KPSS with automatic bandwidth. The p-value is interpolated and clipped to [0.01, 0.10]."""
-    centred = _centred(df, column, layout)
-    n = F.col("_total")
-    base_lags = F.floor(F.pow(n.cast("double"), 2.0 / 9.0))
-    i, s = F.col("lag"), F.col("s")
-    short = _lag_products(centred, base_lags, layout)
-    count = centred.groupBy(*KEYS).agg(F.first("_total").alias("n"))
-    bandwidth = (
-        short.groupBy(*KEYS)
-        .agg(
-            F.sum(F.when(i == 0, s).otherwise(2 * s)).alias("_s0"),
-            F.sum(2 * i * s).alias("_s1"),
-        )
-        .join(count, KEYS)
-        .select(
-            *KEYS,
-            F.least(
-                F.floor(
-                    1.1447 * F.pow(F.pow(F.try_divide(F.col("_s1"), F.col("_s0")), 2.0), 1.0 / 3.0) * F.pow(F.col("n").cast("double"), 1.0 / 3.0)
-                ),
-                F.col("n") - 1,
-            ).alias("nlags"),
-        )
-    )
     x = _present(df, column)
-    mean = x.groupBy(*KEYS).agg(F.avg("x").alias("mean")).join(bandwidth, KEYS)
-    full = index_series(x, {"_cum": Running("sum", F.col("x"))}, layout=layout, attributes=mean).withColumn(
-        "e", F.col("x") - F.col("mean")
-    )
-    eta = full.groupBy(*KEYS).agg(
-        F.first("_total").alias("n"),
-        F.first("nlags").alias("nlags"),
-        F.sum(F.pow(F.col("_cum") - (F.col("_rn") + 1) * F.col("mean"), 2)).alias("_eta"),
+    size = x.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    n = F.col("n").cast("double")
+    size = cut(size.withColumn("_lags", F.floor(F.pow(n, 2.0 / 9.0))))
+    i, s = F.col("lag"), F.col("s")
+    short = _lag_products(x, size.drop("n"), layout).groupBy(*KEYS).agg(
+        F.sum(F.when(i == 0, s).otherwise(2 * s)).alias("_s0"), F.sum(2 * i * s).alias("_s1")
     )
-    long = _lag_products(full, F.col("nlags"), layout)
-    weight = F.when(i == 0, F.lit(1.0)).otherwise(2 * (1 - i / (F.col("nlags") + 1)))
-    var = long.join(bandwidth, KEYS).groupBy(*KEYS).agg(F.sum(weight * s).alias("_var"))
-    out = eta.join(var, KEYS).withColumn(
-        "statistic", F.try_divide(F.col("_eta"), F.col("n") * F.col("n") * (F.col("_var") / F.col("n")))
+    ratio = F.try_divide(F.col("_s1"), F.col("_s0"))
+    width = 1.1447 * F.pow(ratio * ratio, 1.0 / 3.0) * F.pow(n, 1.0 / 3.0)
+    size = cut(
+        size.drop("_lags").join(short, KEYS).select(*KEYS, "n", "mean", F.least(F.floor(width), F.col("n") - 1).alias("_lags"))
     )
+    cum = index_series(x, {"_cum": Running("sum", F.col("x"))}, layout=layout, attributes=size.select(*KEYS, "mean"))
+    eta = cum.groupBy(*KEYS).agg(F.sum(F.pow(F.col("_cum") - (F.col("_rn") + 1) * F.col("mean"), 2)).alias("_eta"))
+    weight = F.when(i == 0, F.lit(1.0)).otherwise(2 * (1 - i / (F.col("_lags") + 1)))
+    long = _lag_products(x, size.drop("n"), layout)
+    var = long.join(size.select(*KEYS, "_lags"), KEYS).groupBy(*KEYS).agg(F.sum(weight * s).alias("_var"))
+    out = size.withColumnRenamed("_lags", "nlags").join(eta, KEYS).join(var, KEYS)
+    out = out.withColumn("statistic", F.try_divide(F.col("_eta"), F.col("n") * F.col("_var")))
     st, p = F.col("statistic"), None
     for k in range(3):
         a, b, pa, pb = KPSS_STAT[k], KPSS_STAT[k + 1], KPSS_P[k], KPSS_P[k + 1]
@@ -296,7 +280,7 @@ def adf_test(
     """
     keys = list(keys)
     x = df.filter(F.col(column).isNotNull()).select(*keys, time, F.col(column).cast("double").alias("x"))
-    size = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("_m"))
+    size = cut(x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("_m")))
     longest = size.agg(F.max("n")).first()[0] or 0
     halo = max(adf_max_lag(longest), 1) + 1 if longest else 1
     indexed = index_series(x, layout=layout, attributes=size.select(*keys, "_m"), only=F.col("_total") >= least, keys=keys, time=time)
@@ -522,6 +506,7 @@ def diagnostics_report(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
         return t.select(*KEYS, *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
 
     tests = ["statistic", "p_value", "is_stationary"]
+    df = cut(df.select(*KEYS, TIME, "close", "log_return"))
     parts = [
         value_at_risk(df),
         named(adf_test(df, "close", layout), "adf_price", tests),
