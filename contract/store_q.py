@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -49,7 +51,16 @@ def _union(spark, sf):
     return store.union_series({s: b.filter(F.col("symbol") == s).drop("symbol") for s in ("1-URGENT", "2-HIGH", "5-LOW")})
 
 
+def _records(spark, sf):
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickframe-")
+    path = f"{base}/export-{uuid.uuid4().hex}"
+    store.export_dataset(bars_1h(spark, sf), path)
+    schema = "symbol string, timeframe string, open_time timestamp, open double, high double, low double, close double, volume double"
+    return store.load_records(spark, f"{path}/records/split=train", schema, lines=True)
+
+
 QUERIES = {
+    "load_records": lambda s, d: out(_records(s, d)),
     "parse_klines": lambda s, d: out(klines.parse_klines(kline_batches(s, d))),
     "plan_fetch_ranges": lambda s, d: out(_ranges(s, d)),
     "read_candles": lambda s, d: out(store.read_candles(bars_1h(s, d), "click", "1h", datetime(2024, 1, 5), datetime(2024, 1, 9, 12))),
@@ -110,6 +121,7 @@ TXT = {
 }
 
 SQL = {
+    "load_records": f"{NUMBERED} select {CANDLE} from n where rn < floor(n * 0.85::double)",
     "parse_klines": f"{B1H} select {CANDLE} from bars",
     "plan_fetch_ranges": f"""{B1H}, s as (select symbol, epoch_ms(min(open_time)) as a, epoch_ms(max(open_time)) as z from bars group by 1),
       p as (select symbol, a, z, unnest(range(0, (z - a + 179999999) // 180000000)) as page from s)

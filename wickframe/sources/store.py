@@ -93,8 +93,19 @@ def write_candles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
+STORE_SCHEMA = ", ".join(
+    [f"{TIME} timestamp", *[f"{c} double" for c in OHLCV], "created_at timestamp", "updated_at timestamp"]
+    + [f"{c} string" for c in PARTITIONS]
+)
+
+
+def init_store(spark: SparkSession, path: str) -> None:
+    """Create an empty table folder."""
+    write_candles(spark.createDataFrame([], STORE_SCHEMA).drop("month"), path, "append")
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
 
 
 def merge_into_store(spark: SparkSession, path: str, incoming: DataFrame, now: Column, scratch: str) -> DataFrame:
@@ -225,22 +236,19 @@ def export_dataset(df: DataFrame, path: str, test_ratio: float = 0.15, layout: L
     return meta
 
 
-def load_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON records: one object per line, one array per file, or an object that holds the array.
+def load_records(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """JSON records: an array per file, or an object that holds the array.
 
-    Of the keys data, records, train and test the first present one is taken. Line-delimited files
-    are read in splits; an array document is one record of its file, so large sets should be lines.
+    Of the keys data, records, train and test the first present one is taken. ``lines`` reads one
+    record per line, as ``export_dataset`` writes them; only this form is read in splits, so large
+    sets should use it.
     """
+    if lines:
+        return spark.read.schema(schema).json(path)
     row = f"struct<{schema}>"
-    text = spark.read.option("multiLine", True).schema(
-        f"data array<{row}>, records array<{row}>, train array<{row}>, test array<{row}>, {schema}"
-    ).json(path)
-    nested = F.coalesce("data", "records", "train", "test")
-    fields = [f.split(":")[0].split()[0] for f in schema.split(",")]
-    plain = F.struct(*fields)
-    return text.select(F.explode(F.coalesce(nested, F.array(plain))).alias("_r")).select("_r.*")
-
-
-def load_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Line-delimited records, as ``export_dataset`` writes them."""
-    return spark.read.schema(schema).json(path)
+    keys = ("data", "records", "train", "test")
+    nested = ", ".join(f"{k} array<{row}>" for k in keys)
+    doc = spark.read.option("multiLine", True).schema(f"{nested}, {schema}").json(path)
+    fields = [f.strip().split()[0] for f in schema.split(",")]
+    records = F.coalesce(*keys, F.array(F.struct(*fields)))
+    return doc.select(F.explode(records).alias("_r")).select("_r.*")
