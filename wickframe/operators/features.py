@@ -21,11 +21,10 @@ from wickframe.operators.blocks import (
     index_series,
     over_block,
     own,
-    rolling,
     row_blocks,
 )
 from wickframe.operators.quantiles import series_quantiles
-from wickframe.operators.scans import Ewm, with_ewm
+from wickframe.operators.scans import Ewm, Roll, with_scans
 from wickframe.schema import DEFAULT_PERIODS, OHLCV, PERIODS_PER_YEAR, SERIES, TIME, lookup, require
 
 EPS = 1e-8
@@ -37,7 +36,7 @@ class Indicator:
     """Columns by level, the preceding rows they need, and series-long running aggregates."""
 
     outputs: tuple[str, ...]
-    levels: dict[int, dict[str, Column | Ewm]]
+    levels: dict[int, dict[str, Column | Ewm | Roll]]
     halo: int = 0
     running: dict[str, Running] = field(default_factory=dict)
 
@@ -60,14 +59,16 @@ def with_indicators(
     for i in indicators:
         for n, cols in i.levels.items():
             levels.setdefault(n, {}).update(cols)
-    halo = max([i.halo for i in indicators] + [c.halo for lv in levels.values() for c in lv.values() if isinstance(c, Ewm)])
+    halo = max([i.halo for i in indicators] + [c.halo + 1 for lv in levels.values() for c in lv.values() if isinstance(c, (Ewm, Roll))])
     running = {k: v for i in indicators for k, v in i.running.items()}
     base = [c for c in df.columns if c not in ("_rn", "_total")]
     indexed = index_series(df, running, layout=layout, attributes=attributes, only=only)
     out = row_blocks(indexed, halo, layout, ahead)
     for n in sorted(levels):
-        plain = {k: c for k, c in levels[n].items() if not isinstance(c, Ewm)}
-        out = with_ewm(out, {k: c for k, c in levels[n].items() if isinstance(c, Ewm)}, plain)
+        plain = {k: c for k, c in levels[n].items() if not isinstance(c, (Ewm, Roll))}
+        if plain:
+            out = out.withColumns(plain)
+        out = with_scans(out, {k: c for k, c in levels[n].items() if isinstance(c, (Ewm, Roll))})
     outputs = list(dict.fromkeys(o for i in indicators for o in i.outputs if o not in base))
     return own(out.select(*base, *outputs, *keep, "_own", "_blk", "_sub"))
 
@@ -83,11 +84,6 @@ def _prev(c: str = "close", k: int = 1) -> Column:
     return F.lag(c, k).over(over_block())
 
 
-def _roll(fn, c: str, n: int, first: int = 0) -> Column:
-    """``fn`` over the last ``n`` rows of a column that is null only in the ``first`` rows of a series."""
-    return F.when(F.col("_rn") >= first + n - 1, fn(c).over(rolling(n)))
-
-
 def returns_def() -> Indicator:
     return Indicator(
         ("return_pct", "log_return"),
@@ -104,7 +100,7 @@ def returns_def() -> Indicator:
 
 def moving_averages_def(windows=(7, 25, 99)) -> Indicator:
     return Indicator(
-        tuple(f"ma_{n}" for n in windows), {0: {f"ma_{n}": _roll(F.avg, "close", n) for n in windows}}, max(windows)
+        tuple(f"ma_{n}" for n in windows), {2: {f"ma_{n}": Roll("mean", "close", n) for n in windows}}
     )
 
 
@@ -157,10 +153,10 @@ def rsi_simple_def(n: int = 14) -> Indicator:
         {
             0: {"_prev_close": _prev()},
             1: {"_up": F.greatest(up, F.lit(0.0) * up), "_down": F.greatest(-up, F.lit(0.0) * up)},
-            2: {"_mean_up": _roll(F.avg, "_up", n, 1), "_mean_down": _roll(F.avg, "_down", n, 1)},
+            2: {"_mean_up": Roll("mean", "_up", n), "_mean_down": Roll("mean", "_down", n)},
             3: {"rsi_14": 100 - 100 / (1 + F.col("_mean_up") / (F.col("_mean_down") + EPS))},
         },
-        n + 1,
+        1,
     )
 
 
@@ -174,14 +170,13 @@ def bollinger_def(n: int = 20, k: float = 2.0, eps: float = 0.0) -> Indicator:
     return Indicator(
         ("bb_mid", "bb_upper", "bb_lower", "bb_width", "bb_pct"),
         {
-            0: {"bb_mid": _roll(F.avg, "close", n), "_bb_std": _roll(F.stddev_samp, "close", n)},
-            1: {
+            2: {"bb_mid": Roll("mean", "close", n), "_bb_std": Roll("std", "close", n)},
+            3: {
                 "bb_upper": F.col("bb_mid") + k * F.col("_bb_std"),
                 "bb_lower": F.col("bb_mid") - k * F.col("_bb_std"),
             },
-            2: {"bb_width": rel, "bb_pct": pos},
+            4: {"bb_width": rel, "bb_pct": pos},
         },
-        n,
     )
 
 
@@ -207,14 +202,14 @@ def atr_wilder_def() -> Indicator:
 
 
 def atr_simple_def(n: int = 14) -> Indicator:
-    return Indicator(("atr_14",), {**true_range_def().levels, 2: {"atr_14": _roll(F.avg, "true_range", n)}}, n)
+    return Indicator(("atr_14",), {**true_range_def().levels, 2: {"atr_14": Roll("mean", "true_range", n)}}, 1)
 
 
 def volume_def(n: int = 20, eps: float = 0.0) -> Indicator:
     mean = F.col("volume_ma_20")
     ratio = F.col("volume") / (mean + eps) if eps else F.try_divide(F.col("volume"), _nz(mean))
     return Indicator(
-        ("volume_ma_20", "volume_ratio"), {0: {"volume_ma_20": _roll(F.avg, "volume", n)}, 1: {"volume_ratio": ratio}}, n
+        ("volume_ma_20", "volume_ratio"), {2: {"volume_ma_20": Roll("mean", "volume", n)}, 3: {"volume_ratio": ratio}}
     )
 
 
@@ -225,9 +220,10 @@ def rolling_vol_def(n: int = 30, annualise: bool = True) -> Indicator:
         ("rolling_vol_30",),
         {
             **returns_def().levels,
-            2: {"rolling_vol_30": _roll(F.stddev_samp, source, n, 1) * scale},
+            2: {"_vol": Roll("std", source, n)},
+            3: {"rolling_vol_30": F.col("_vol") * scale},
         },
-        n + 1,
+        1,
     )
 
 
@@ -236,10 +232,9 @@ def price_zscore_def(n: int = 60, eps: float = 0.0) -> Indicator:
     return Indicator(
         ("price_zscore",),
         {
-            0: {f"_mean_{n}": _roll(F.avg, "close", n), f"_std_{n}": _roll(F.stddev_samp, "close", n)},
-            1: {"price_zscore": diff / (std + eps) if eps else F.try_divide(diff, _nz(std))},
+            2: {f"_mean_{n}": Roll("mean", "close", n), f"_std_{n}": Roll("std", "close", n)},
+            3: {"price_zscore": diff / (std + eps) if eps else F.try_divide(diff, _nz(std))},
         },
-        n,
     )
 
 
@@ -252,7 +247,7 @@ def drawdown_def(eps: float = 0.0) -> Indicator:
 def trend_regime_def() -> Indicator:
     a, b, c = (F.col(f"ma_{n}") for n in (7, 25, 99))
     regime = F.when((a > b) & (b > c), "Bull").when((a < b) & (b < c), "Bear").otherwise("Sideways")
-    return Indicator(("regime",), {**moving_averages_def().levels, 1: {"regime": regime}}, 99)
+    return Indicator(("regime",), {**moving_averages_def().levels, 3: {"regime": regime}})
 
 
 # -- operators ----------------------------------------------------------------------------------

@@ -1,9 +1,15 @@
-"""Exponentially weighted means ``y_t = a*x_t + (1-a)*y_(t-1)`` from window expressions.
-
-A sub-block of 512 rows is summed in closed form with weights relative to its first row, so the
-weights stay far from overflow. The ends of the sub-blocks before are added with the decay of
-whole sub-blocks, and the sum is cut where all further terms are below 1e-20 of the value. The
-rows needed for that are the halo of the block.
+"""Weighted and rolling moments from ``lag`` and running sums inside a row block.
+
+``Ewm``, ``y_t = a*x_t + (1-a)*y_(t-1)``: a sub-block of 512 rows is summed in closed form with
+weights relative to its first row, so the weights stay far from overflow. The ends of the
+sub-blocks before are added with the decay of whole sub-blocks, and the sum is cut where all
+further terms are below 1e-20 of the value. The rows needed for that are the halo of the block.
+
+``Roll``, mean or sample deviation of the last n rows: a sliding frame evaluates its aggregate over
+all n rows of every row. Here the moments of 1, 2, 4, 8, .. rows are built by joining two halves (one
+``lag`` each), and the window is put together from those pieces, so the work grows with log n. Pieces
+are only ever added, never subtracted, so a past outlier leaves no rounding error behind and a window
+of equal values has a deviation of exactly 0.
 """
 
 from __future__ import annotations
@@ -45,10 +51,102 @@ class Ewm:
         return SUB * (self.terms + 1)
 
 
-def with_ewm(df: DataFrame, columns: dict[str, Ewm], others: dict[str, Column] | None = None, keys=SERIES) -> DataFrame:
-    """Add the given means to a blocked frame, and ``others`` (windows over the block) in the same pass."""
-    if not columns:
-        return df.withColumns(others) if others else df
+@dataclass(frozen=True)
+class Roll:
+    """``mean`` or ``std`` of the last ``n`` rows; null while one of them is missing or null."""
+
+    fn: str
+    column: str
+    n: int
+
+    @property
+    def halo(self) -> int:
+        return self.n
+
+    def pieces(self) -> list[tuple[int, int]]:
+        """(level, offset) of the pieces of 2^level rows, the newest first."""
+        out, offset = [], 0
+        for level in reversed(range(self.n.bit_length())):
+            if self.n >> level & 1:
+                out.append((level, offset))
+                offset += 1 << level
+        return out
+
+
+class _Rolls:
+    """Columns of the rolling moments, level by level."""
+
+    def __init__(self, rolls: dict[str, Roll], w):
+        self.rolls, self.w = rolls, w
+        self.std = {r.column for r in rolls.values() if r.fn == "std"}
+        self.top = {}
+        for r in rolls.values():
+            self.top[r.column] = max(self.top.get(r.column, 0), r.n.bit_length() - 1)
+        self.levels = max(self.top.values(), default=-1) + 1
+        self.made: list[str] = []
+
+    def _parts(self, c: str) -> tuple[str, ...]:
+        return ("m", "q") if c in self.std else ("m",)
+
+    def _name(self, part: str, level: int, c: str) -> str:
+        return c if level == 0 and part == "m" else f"_{part}{level}_{c}"
+
+    def lags(self, level: int) -> dict[str, Column]:
+        """Lags of the moments of 2^level rows: by 2^level for the next level, by the offsets for the windows."""
+        cols = {}
+        for c, top in self.top.items():
+            offsets = {1 << level} if level < top else set()
+            offsets |= {o for r in self.rolls.values() if r.column == c for k, o in r.pieces() if k == level and o > 0}
+            for part in self._parts(c):
+                if part == "q" and level == 0:
+                    continue
+                for o in offsets:
+                    cols[f"_{part}{level}_{c}_{o}"] = F.lag(self._name(part, level, c), o).over(self.w)
+        self.made += cols
+        return cols
+
+    def _piece(self, part: str, level: int, offset: int, c: str) -> Column:
+        if part == "q" and level == 0:
+            return F.lit(0.0)
+        name = self._name(part, level, c)
+        return F.col(name) if offset == 0 else F.col(f"_{part}{level}_{c}_{offset}")
+
+    def join(self, level: int) -> dict[str, Column]:
+        """Moments of 2^(level+1) rows from two halves."""
+        cols, n = {}, 1 << level
+        for c, top in self.top.items():
+            if level < top:
+                a, b = self._piece("m", level, 0, c), self._piece("m", level, n, c)
+                cols[f"_m{level + 1}_{c}"] = (a + b) / 2
+                if c in self.std:
+                    q = self._piece("q", level, 0, c) + self._piece("q", level, n, c)
+                    cols[f"_q{level + 1}_{c}"] = q + (a - b) * (a - b) * (n / 2)
+        self.made += cols
+        return cols
+
+    def results(self) -> dict[str, Column]:
+        out = {}
+        for name, r in self.rolls.items():
+            c, pieces = r.column, r.pieces()
+            # relative to the largest piece, which holds more than half of the rows
+            base = self._piece("m", *pieces[0], c)
+            rest = [(1 << k, self._piece("m", k, o, c) - base) for k, o in pieces[1:]]
+            first = sum((d * size for size, d in rest), F.lit(0.0))
+            if r.fn == "mean":
+                out[name] = base + first / r.n
+                continue
+            inner = sum((self._piece("q", k, o, c) for k, o in pieces[1:]), self._piece("q", *pieces[0], c))
+            second = sum((d * d * size for size, d in rest), F.lit(0.0))
+            out[name] = F.sqrt((inner + second - first * first / r.n) / (r.n - 1))
+        return out
+
+
+def with_scans(df: DataFrame, columns: dict[str, Ewm | Roll], keys=SERIES) -> DataFrame:
+    """Add the given moments to a blocked frame, all in one pass over the sorted blocks."""
+    rolls = {n: r for n, r in columns.items() if isinstance(r, Roll)}
+    columns = {n: e for n, e in columns.items() if isinstance(e, Ewm)}
+    if not columns and not rolls:
+        return df
     for e in columns.values():
         if not 0.0 < e.alpha <= MAX_ALPHA:
             raise ValueError(f"alpha must lie above 0 and at most at {MAX_ALPHA}")
@@ -74,7 +172,15 @@ def with_ewm(df: DataFrame, columns: dict[str, Ewm], others: dict[str, Column] |
             lags[f"_e_{n}_{j}"] = keep(F.lag(f"_e_{n}", SUB * j).over(w)) * q ** (SUB * j)
             carry = carry + F.col(f"_e_{n}_{j}")
         result[n] = (F.col(f"_u_{n}") + carry) * F.pow(F.lit(q), p)
-    out = df.withColumns(sums).withColumns({**ends, **(others or {})})
-    if lags:
-        out = out.withColumns(lags)
-    return out.withColumns(result).drop(*sums, *ends, *lags)
+    out = df.withColumns(sums) if sums else df
+    steps = _Rolls(rolls, w)
+    for level in range(max(steps.levels, 2 if columns else 0)):
+        extra = ends if level == 0 else lags if level == 1 else {}
+        windows = {**steps.lags(level), **extra}
+        if windows:
+            out = out.withColumns(windows)
+        joined = steps.join(level)
+        if joined:
+            out = out.withColumns(joined)
+    out = out.withColumns({**result, **steps.results()})
+    return out.drop(*sums, *ends, *lags, *steps.made)
