@@ -51,7 +51,7 @@ class Running:
 
 def time_bucket(span: int, keys=SERIES, time=TIME) -> Column:
     day = 86_400_000
-    step = F.coalesce(step_ms(F.col("timeframe")), F.lit(day)) if "timeframe" in keys else F.lit(day)
+    step = F.coalesce(step_ms(), F.lit(day)) if "timeframe" in keys else F.lit(day)
     return F.floor(F.unix_millis(F.col(time).cast("timestamp")) / (step * span))
 
 

@@ -174,7 +174,7 @@ def cleaning_report(
 
 def detect_gaps(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     """One row per gap: distance to the candle before above 1.5 steps. Unknown timeframes have none."""
-    step = step_ms(F.col("timeframe"))
+    step = step_ms()
     ms = F.unix_millis(TIME)
     return (
         drop_index(

@@ -75,8 +75,8 @@ def cluster_profile(labelled: DataFrame) -> DataFrame:
     """Size, percentage and mean standardised features of every cluster."""
     feats = [c for c in _feature_names(labelled) if c != "cluster"]
     out = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in feats])
-    total = labelled.agg(F.count(F.lit(1)).alias("_n"))
-    return out.join(F.broadcast(total)).withColumn("pct", F.col("size") / F.col("_n") * 100).drop("_n")  # one row
+    total = F.sum("size").over(Window.partitionBy(F.lit(1)))  # over one row per cluster
+    return out.withColumn("pct", F.col("size") / total * 100)
 
 
 def pca_2d(scaled: DataFrame) -> tuple[DataFrame, list[float]]:

@@ -82,7 +82,7 @@ def candle_window(df: DataFrame) -> DataFrame:
     """The newest bars of every series, as many as its timeframe shows on a chart."""
     most = max(*CHART_BARS.values(), DEFAULT_CHART_BARS)
     rows = top_per_series(df, most, [F.col(TIME).desc()])
-    return rows.filter(F.col("_r") <= lookup(CHART_BARS, F.col("timeframe"), DEFAULT_CHART_BARS)).drop("_r")
+    return rows.filter(F.col("_r") <= lookup(CHART_BARS, "timeframe", DEFAULT_CHART_BARS)).drop("_r")
 
 
 def band_breakouts(df: DataFrame) -> DataFrame:

@@ -214,7 +214,7 @@ def volume_def(n: int = 20, eps: float = 0.0) -> Indicator:
 
 
 def rolling_vol_def(n: int = 30, annualise: bool = True) -> Indicator:
-    scale = F.sqrt(lookup(PERIODS_PER_YEAR, F.col("timeframe"), DEFAULT_PERIODS)) if annualise else F.lit(1.0)
+    scale = F.sqrt(lookup(PERIODS_PER_YEAR, "timeframe", DEFAULT_PERIODS)) if annualise else F.lit(1.0)
     source = "log_return" if annualise else "return_pct"
     return Indicator(
         ("rolling_vol_30",),

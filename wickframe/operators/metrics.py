@@ -73,7 +73,7 @@ def forecast_timestamps(forecast: DataFrame, last: DataFrame) -> DataFrame:
     ``last`` has the newest candle of every series (``latest_price``).
     """
     base = last.select(*SERIES, F.col(TIME).alias("_t"), F.col("close").alias("last_close"))
-    step = F.coalesce(step_ms(F.col("timeframe")), F.lit(86_400_000))
+    step = F.coalesce(step_ms(), F.lit(86_400_000))
     out = forecast.join(base, list(SERIES))
     diff = F.col("y_pred") - F.col("last_close")
     return out.withColumns(

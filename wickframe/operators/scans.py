@@ -76,8 +76,9 @@ class Roll:
 class _Rolls:
     """Columns of the rolling moments, level by level."""
 
-    def __init__(self, rolls: dict[str, Roll], w):
-        self.rolls, self.w = rolls, w
+    def __init__(self, rolls: dict[str, Roll], keys):
+        self.rolls = rolls
+        self.over = f"over (partition by {', '.join(keys)}, _blk order by _sub, _rn)"
         self.std = {r.column for r in rolls.values() if r.fn == "std"}
         self.top = {}
         for r in rolls.values():
@@ -101,7 +102,7 @@ class _Rolls:
                 if part == "q" and level == 0:
                     continue
                 for o in offsets:
-                    cols[f"_{part}{level}_{c}_{o}"] = F.lag(self._name(part, level, c), o).over(self.w)
+                    cols[f"_{part}{level}_{c}_{o}"] = F.expr(f"lag({self._name(part, level, c)}, {o}) {self.over}")
         self.made += cols
         return cols
 
@@ -173,7 +174,7 @@ def with_scans(df: DataFrame, columns: dict[str, Ewm | Roll], keys=SERIES) -> Da
             carry = carry + F.col(f"_e_{n}_{j}")
         result[n] = (F.col(f"_u_{n}") + carry) * F.pow(F.lit(q), p)
     out = df.withColumns(sums) if sums else df
-    steps = _Rolls(rolls, w)
+    steps = _Rolls(rolls, keys)
     for level in range(max(steps.levels, 2 if columns else 0)):
         extra = ends if level == 0 else lags if level == 1 else {}
         windows = {**steps.lags(level), **extra}

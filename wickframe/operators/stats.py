@@ -437,8 +437,7 @@ def kde_grid(df: DataFrame, column: str = "log_return", points: int = 200, quant
 def qq_points(df: DataFrame, column: str = "log_return", layout: Layout = DEFAULT) -> DataFrame:
     """Normal probability plot: theoretical and ordered values, with slope, intercept and r of the fit.
 
-    Ranks come from buckets of equal width between the extremes, split by count, so no task sorts a
-    whole series.
+    Ranks come from ``rank_values``, so no task sorts a whole series.
     """
     ranked = rank_values(_present(df, column), layout)
     n, i = F.col("n"), F.col("rank")
@@ -461,33 +460,47 @@ def qq_points(df: DataFrame, column: str = "log_return", layout: Layout = DEFAUL
     return pts.join(fit, KEYS)
 
 
-def rank_values(x: DataFrame, layout: Layout = DEFAULT, buckets: int = 4_096) -> DataFrame:
+def rank_values(x: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     """1-based rank of ``x`` per series (ties by time) and the series size ``n``.
 
-    Splitters are approximate quantiles, so the buckets hold about the same number of rows whatever
-    the distribution; a value that fills a bucket of its own is split further by time.
+    Approximate quantiles split a series into 256 ranges of about equal counts, and each range is
+    cut into equal-width bins, about one per 50,000 rows. A frequent value is a splitter itself; its
+    rows are ordered by time and cut by time bucket. Only the bin counts are scanned per series.
     """
+    from wickframe.operators.blocks import time_bucket
+
     probs = [k / 256 for k in range(1, 256)]
-    sp = x.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.percentile_approx("x", probs, 2_560)).alias("_sp"))
+    sp = x.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("x").alias("_lo"),
+        F.max("x").alias("_hi"),
+        F.array_distinct(F.percentile_approx("x", probs, 2_560)).alias("_sp"),
+    )
+    width = 1 << 24
 
     def place(batches):
         for pdf in batches:
             out = np.zeros(len(pdf), dtype="int64")
             for _, pos in pdf.groupby(["symbol", "timeframe"], sort=False).indices.items():
                 v = pdf["x"].to_numpy()[pos]
-                edges = np.asarray(pdf["_sp"].iloc[pos[0]])
-                # odd numbers: exactly a splitter; even numbers: between two splitters
+                head = pdf.iloc[pos[0]]
+                edges = np.asarray(head["_sp"], dtype=float)
+                bins = min(max(int(head["n"]) // len(edges) // 50_000, 1), width - 1)
                 left = np.searchsorted(edges, v, "left")
-                out[pos] = 2 * left + (np.searchsorted(edges, v, "right") > left)
+                is_edge = np.searchsorted(edges, v, "right") > left
+                ext = np.concatenate([[head["_lo"]], edges, [head["_hi"]]])
+                lo, hi = ext[left], ext[left + 1]
+                part = np.where(hi > lo, (v - lo) / np.where(hi > lo, hi - lo, 1.0), 0.0)
+                sub = np.minimum((part * bins).astype("int64"), bins - 1)
+                # odd ranges are exactly a splitter, even ones lie between two
+                out[pos] = (2 * left + is_edge) * width + np.where(is_edge, 0, sub)
             pdf["_vb"] = out
-            yield pdf.drop(columns=["_sp"])
+            yield pdf.drop(columns=["_sp", "_lo", "_hi"])
 
     schema = f"{KEY_SCHEMA}, {TIME} timestamp, x double, n bigint, _vb bigint"
-    placed = x.join(sp, KEYS).select(*KEYS, TIME, "x", "n", "_sp").mapInPandas(place, schema)
-    # inside the bucket of a single value the order is the time: cut it by time bucket
-    from wickframe.operators.blocks import time_bucket
-
-    placed = placed.withColumn("_tb", F.when(F.col("_vb") % 2 == 1, time_bucket(layout.span)).otherwise(F.lit(0)))
+    placed = x.join(sp, KEYS).select(*KEYS, TIME, "x", "n", "_sp", "_lo", "_hi").mapInPandas(place, schema)
+    is_value = F.floor(F.col("_vb") / width) % 2 == 1
+    placed = placed.withColumn("_tb", F.when(is_value, time_bucket(layout.span)).otherwise(F.lit(0)))
     part = placed.groupBy(*KEYS, "_vb", "_tb").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*KEYS).orderBy("_vb", "_tb").rowsBetween(Window.unboundedPreceding, -1)
     off = part.select(*KEYS, "_vb", "_tb", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))

@@ -66,15 +66,15 @@ CHART_BARS = {"1d": 180, "1h": 120, "4h": 150, "15m": 96}
 DEFAULT_CHART_BARS = 120
 
 
-def lookup(mapping: dict, key: Column, default=None) -> Column:
+def lookup(mapping: dict, key: str, default=None) -> Column:
     """Value of a small constant map for a key column; null (or ``default``) when unknown."""
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    value = F.create_map(*pairs)[key]
+    pairs = ", ".join(f"'{k}', {v}L" for k, v in mapping.items())
+    value = F.expr(f"map({pairs})[{key}]")
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def step_ms(timeframe: Column) -> Column:
-    return lookup(STEP_MS, timeframe).cast("bigint")
+def step_ms(key: str = "timeframe") -> Column:
+    return lookup(STEP_MS, key)
 
 
 def check_timeframe(timeframe: str) -> int:
