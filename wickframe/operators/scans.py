@@ -6,8 +6,8 @@ sub-blocks before are added with the decay of whole sub-blocks, and the sum is c
 further terms are below 1e-20 of the value. The rows needed for that are the halo of the block.
 
 ``Roll``, mean or sample deviation of the last n rows: a sliding frame evaluates its aggregate over
-all n rows of every row. Here the moments of 1, 2, 4, 8, .. rows are built by joining two halves (one
-``lag`` each), and the window is put together from those pieces, so the work grows with log n. Pieces
+all n rows of every row. Here the moments of 1, 4, 16, 64, .. rows are built by joining four quarters
+with ``lag``, and the window is put together from those pieces, so the work grows with log n. Pieces
 are only ever added, never subtracted, so a past outlier leaves no rounding error behind and a window
 of equal values has a deviation of exactly 0.
 """
@@ -63,13 +63,21 @@ class Roll:
     def halo(self) -> int:
         return self.n
 
+    @property
+    def top(self) -> int:
+        """Level of the largest piece."""
+        level = 0
+        while 4 ** (level + 1) <= self.n:
+            level += 1
+        return level
+
     def pieces(self) -> list[tuple[int, int]]:
-        """(level, offset) of the pieces of 2^level rows, the newest first."""
+        """(level, offset) of the pieces of 4^level rows, the newest first."""
         out, offset = [], 0
-        for level in reversed(range(self.n.bit_length())):
-            if self.n >> level & 1:
+        for level in range(self.top, -1, -1):
+            while self.n - offset >= 4**level:
                 out.append((level, offset))
-                offset += 1 << level
+                offset += 4**level
         return out
 
 
@@ -82,7 +90,7 @@ class _Rolls:
         self.std = {r.column for r in rolls.values() if r.fn == "std"}
         self.top = {}
         for r in rolls.values():
-            self.top[r.column] = max(self.top.get(r.column, 0), r.n.bit_length() - 1)
+            self.top[r.column] = max(self.top.get(r.column, 0), r.top)
         self.levels = max(self.top.values(), default=-1) + 1
         self.made: list[str] = []
 
@@ -93,10 +101,10 @@ class _Rolls:
         return c if level == 0 and part == "m" else f"_{part}{level}_{c}"
 
     def lags(self, level: int) -> dict[str, Column]:
-        """Lags of the moments of 2^level rows: by 2^level for the next level, by the offsets for the windows."""
+        """Lags of the moments of 4^level rows: three for the next level, and the offsets of the windows."""
         cols = {}
         for c, top in self.top.items():
-            offsets = {1 << level} if level < top else set()
+            offsets = {j * 4**level for j in (1, 2, 3)} if level < top else set()
             offsets |= {o for r in self.rolls.values() if r.column == c for k, o in r.pieces() if k == level and o > 0}
             for part in self._parts(c):
                 if part == "q" and level == 0:
@@ -113,15 +121,18 @@ class _Rolls:
         return F.col(name) if offset == 0 else F.col(f"_{part}{level}_{c}_{offset}")
 
     def join(self, level: int) -> dict[str, Column]:
-        """Moments of 2^(level+1) rows from two halves."""
-        cols, n = {}, 1 << level
+        """Moments of 4^(level+1) rows from four quarters, relative to the newest."""
+        cols, n = {}, 4**level
         for c, top in self.top.items():
             if level < top:
-                a, b = self._piece("m", level, 0, c), self._piece("m", level, n, c)
-                cols[f"_m{level + 1}_{c}"] = (a + b) / 2
+                base, *rest = [self._piece("m", level, j * n, c) for j in range(4)]
+                d = [x - base for x in rest]
+                total = d[0] + d[1] + d[2]
+                cols[f"_m{level + 1}_{c}"] = base + total / 4
                 if c in self.std:
-                    q = self._piece("q", level, 0, c) + self._piece("q", level, n, c)
-                    cols[f"_q{level + 1}_{c}"] = q + (a - b) * (a - b) * (n / 2)
+                    q = sum((self._piece("q", level, j * n, c) for j in range(1, 4)), self._piece("q", level, 0, c))
+                    spread = d[0] * d[0] + d[1] * d[1] + d[2] * d[2] - total * total / 4
+                    cols[f"_q{level + 1}_{c}"] = q + spread * n
         self.made += cols
         return cols
 
@@ -129,9 +140,9 @@ class _Rolls:
         out = {}
         for name, r in self.rolls.items():
             c, pieces = r.column, r.pieces()
-            # relative to the largest piece, which holds more than half of the rows
+            # relative to one of the largest pieces, so the subtraction below costs two bits at most
             base = self._piece("m", *pieces[0], c)
-            rest = [(1 << k, self._piece("m", k, o, c) - base) for k, o in pieces[1:]]
+            rest = [(4**k, self._piece("m", k, o, c) - base) for k, o in pieces[1:]]
             first = sum((d * size for size, d in rest), F.lit(0.0))
             if r.fn == "mean":
                 out[name] = base + first / r.n
