@@ -23,7 +23,18 @@ class Memo(dict):
         if value is None:
             value = self._make(key)
         if len(self) >= self._size:
-            self._old = dict(self)
-            self.clear()
+            self.age()
         self[key] = value
         return value
+
+    def age(self) -> None:
+        """Make the young generation the old one."""
+        self._old = dict(self)
+        self.clear()
+
+    def recall(self, key) -> bool:
+        """Move a key of the old generation over; whether it was there."""
+        value = self._old.get(key)
+        if value is not None:
+            self[key] = value
+        return value is not None
