@@ -191,7 +191,7 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 0, frame: int
             nonlocal count
             name = f"{path}/part-{context.partitionId():05d}-{context.taskAttemptId()}-{count}.warc.zst"
             count += 1
-            with system.open_output_stream(name) as out:
+            with system.open_output_stream(name, compression=None) as out:
                 out.write(writer.close())
             for at in range(0, len(index), 10_000):
                 part = [(p, name, *rest) for p, *rest in index[at : at + 10_000]]
