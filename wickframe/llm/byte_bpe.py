@@ -79,7 +79,7 @@ class PerfectHash:
 class ByteBpe:
     """Encoder and decoder for ranks (bytes -> id) and a splitting pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 200_000):
         self.ranks = ranks
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         keys = list(ranks)

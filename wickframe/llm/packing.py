@@ -29,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickframe.llm.common import arrow_schema, table
+from wickframe.llm.common import arrow_schema, give_back, table
 
 WINDOW = 2048
 END = 1
 SHARD_TOKENS = 600_000
 COMMON_TERM = 0.5  # terms in a larger share of a shard's documents are not looked up
 K1, B = 1.2, 0.75
-MEMO = 500_000  # pieces remembered, in two generations
+MEMO = 200_000  # pieces remembered, in two generations
 CUT = re.compile(rb"(?<=[a-z])(?=[.,*$%&#!?;:)])")
 PURE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
@@ -184,7 +184,7 @@ def pack(docs: list[tuple[int, bytes]]):
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = 256) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
     """Pieces of all documents; ``with_ids`` adds the token ids of each piece."""
     schema = PIECES + (", ids array<int>" if with_ids else "")
     fields = arrow_schema(schema)
@@ -218,6 +218,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False,
                         yield from flush()
                         shard, tokens = [], 0
         yield from flush()
+        del encoder, shard
+        give_back()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, schema)
 

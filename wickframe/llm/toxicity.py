@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickframe.llm.common import map_rows, table
+from wickframe.llm.common import give_back, map_rows, table
 from wickframe.llm.memo import Memo
 
 GRAM = 5  # bytes of the grams that segments grow from
@@ -52,7 +52,7 @@ class ToxicityModel:
 
     def scorer(self):
         """Function text bytes -> (score, largest saving, windows with evidence)."""
-        save = Memo(_saving(self.toxic, self.ordinary))
+        save = Memo(_saving(self.toxic, self.ordinary), 120_000)
         w0, w1, w2 = self.weights
         cut = self.cut
 
@@ -299,5 +299,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
             texts = b.column(b.schema.get_field_index("text"))
             keep = [score(t.as_py().encode("utf-8", "replace") if t.is_valid else None)[0] < threshold for t in texts]
             yield b.filter(pa.array(keep, pa.bool_()))
+        del score
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
