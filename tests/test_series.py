@@ -1,5 +1,7 @@
 """Blocked series operators against pandas, with blocks far smaller than the series."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -24,33 +26,63 @@ def candles(spark):
     return pdf, spark.createDataFrame(pdf.sample(frac=1, random_state=0))
 
 
-def reference(g):
-    c = g["close"]
-    out = pd.DataFrame({"open_time": g["open_time"]})
-    out["ma_99"], out["bb_mid"] = c.rolling(99).mean(), c.rolling(20).mean()
-    sd = c.rolling(20).std()
-    out["bb_upper"] = out["bb_mid"] + 2 * sd
-    e12, e26 = c.ewm(span=12, adjust=False).mean(), c.ewm(span=26, adjust=False).mean()
-    out["macd"] = e12 - e26
-    out["macd_signal"] = out["macd"].ewm(span=9, adjust=False).mean()
-    d = c.diff()
-    gain, loss = d.where(d > 0, 0.0).ewm(com=13, adjust=False).mean(), (-d.where(d < 0, 0.0)).ewm(com=13, adjust=False).mean()
-    out["rsi_14"] = 100 - 100 / (1 + gain / loss.replace(0, np.nan))
-    tr = pd.concat([g["high"] - g["low"], (g["high"] - c.shift()).abs(), (g["low"] - c.shift()).abs()], axis=1).max(axis=1)
-    out["atr_14"] = tr.ewm(com=13, adjust=False).mean()
-    out["rolling_vol_30"] = np.log(c / c.shift()).rolling(30).std() * np.sqrt(8760)
-    out["drawdown_pct"] = (c / c.cummax() - 1) * 100
+def weighted(values, share):
+    """Each value moves the mean by ``share`` of its distance; the first value starts it."""
+    mean, out = values[0], []
+    for v in values:
+        mean = (1 - share) * mean + share * v
+        out.append(mean)
     return out
 
 
+def trailing(values, n, fn):
+    """``fn`` of the last n values, nan while there are fewer or one is nan."""
+    return [fn(values[i + 1 - n : i + 1]) if i + 1 >= n else math.nan for i in range(len(values))]
+
+
+def spread(values):
+    middle = math.fsum(values) / len(values)
+    return math.sqrt(math.fsum((v - middle) ** 2 for v in values) / (len(values) - 1))
+
+
+def average(values):
+    return math.fsum(values) / len(values)
+
+
+def by_definition(g):
+    """Indicators as plain recurrences over lists."""
+    high, low, close = (g[c].tolist() for c in ("high", "low", "close"))
+    moves = [0.0] + [b - a for a, b in zip(close, close[1:])]
+    ups, downs = weighted([max(m, 0.0) for m in moves], 1 / 14), weighted([max(-m, 0.0) for m in moves], 1 / 14)
+    ranges = [high[0] - low[0]] + [max(h, c) - min(x, c) for h, x, c in zip(high[1:], low[1:], close)]
+    macd = [a - b for a, b in zip(weighted(close, 2 / 13), weighted(close, 2 / 27))]
+    middle = trailing(close, 20, average)
+    logs = [math.nan] + [math.log(b / a) for a, b in zip(close, close[1:])]
+    tops, drops = -math.inf, []
+    for c in close:
+        tops = max(tops, c)
+        drops.append((c / tops - 1) * 100)
+    return {
+        "ma_99": trailing(close, 99, average),
+        "bb_mid": middle,
+        "bb_upper": [m + 2 * s for m, s in zip(middle, trailing(close, 20, spread))],
+        "macd": macd,
+        "macd_signal": weighted(macd, 0.2),
+        "rsi_14": [100 * u / (u + d) if d > 0 else math.nan for u, d in zip(ups, downs)],
+        "atr_14": weighted(ranges, 1 / 14),
+        "rolling_vol_30": [s * math.sqrt(8760) for s in trailing(logs, 30, spread)],
+        "drawdown_pct": drops,
+    }
+
+
 def test_features_across_blocks(candles):
     pdf, df = candles
     got = f.engineer_features(df, False, SMALL).toPandas()
     for sym, g in pdf.groupby("symbol"):
-        want = reference(g)
+        want = pd.DataFrame(by_definition(g))
         have = got[got["symbol"] == sym].sort_values("open_time").reset_index(drop=True)
         assert len(have) == len(want)
-        for c in want.columns[1:]:
+        for c in want.columns:
             np.testing.assert_allclose(have[c], want[c].to_numpy(), rtol=1e-9, atol=1e-8, err_msg=c)
         q33, q66 = want["atr_14"].quantile(0.33), want["atr_14"].quantile(0.66)
         label = np.where(want["atr_14"] >= q66, "High", np.where(want["atr_14"] <= q33, "Low", "Mid"))
@@ -60,6 +92,25 @@ def test_features_across_blocks(candles):
     np.testing.assert_allclose(got["hour_sin"] ** 2 + got["hour_cos"] ** 2, 1, atol=1e-9)
 
 
+def test_quiet_run_keeps_its_ratio(spark):
+    """Means of gains and losses fade together, so the strength stays defined over a long flat stretch."""
+    g = candle_rows(6000, "Q", "1m", seed=9)
+    for c in ("open", "high", "low", "close"):
+        g.loc[40:, c] = g.loc[40, c]
+    got = f.engineer_features(spark.createDataFrame(g), False).toPandas().sort_values("open_time")
+    want = pd.DataFrame(by_definition(g))
+    for c in ("rsi_14", "macd", "macd_signal", "atr_14"):
+        np.testing.assert_allclose(got[c], want[c], rtol=1e-7, atol=1e-12, err_msg=c)
+    assert got["rsi_14"].isna().sum() < 20
+
+
+def test_weighted_mean_of_nulls_fails(spark):
+    g = candle_rows(60, "N", "1d", seed=2)
+    g.loc[20, "close"] = None
+    with pytest.raises(Exception, match="a value is null"):
+        f.ema(spark.createDataFrame(g).withColumn("close", F.nanvl("close", F.lit(None)))).collect()
+
+
 def test_series_together_equal_series_alone(candles):
     _, df = candles
     both = f.macd(df, SMALL).filter("symbol = 'B'").select("open_time", "macd_signal")

@@ -23,7 +23,6 @@ ANALYTICAL = (
     "return_pct", "log_return", "macd", "macd_signal", "macd_hist", "rsi_14", "bb_width", "bb_pct", "atr_14",
     "volume_ratio", "rolling_vol_30", "price_zscore", "drawdown_pct",
 )
-CYCLICAL = ("hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos", "doy_sin", "doy_cos")
 STABILITY = ("rsi_14", "bb_pct", "macd", "volume_ratio", "rolling_vol_30", "price_zscore", "atr_14", "bb_width")
 
 

@@ -28,7 +28,7 @@ from wickframe.operators.scans import Ewm, Roll, with_scans
 from wickframe.schema import DEFAULT_PERIODS, OHLCV, PERIODS_PER_YEAR, SERIES, TIME, lookup, require
 
 EPS = 1e-8
-CORE = ("rsi_14", "macd", "bb_mid")
+CORE = ("rsi_14", "macd", "bb_mid")  # fixed values
 
 
 @dataclass(frozen=True)
@@ -353,6 +353,7 @@ def drop_warmup(df: DataFrame) -> DataFrame:
     return df.dropna(subset=list(CORE))
 
 
+# Output columns, in order.
 FEATURES = (
     "return_pct", "log_return", "ma_7", "ma_25", "ma_99", "ema_12", "ema_26", "macd", "macd_signal", "macd_hist",
     "rsi_14", "bb_mid", "bb_upper", "bb_lower", "bb_width", "bb_pct", "atr_14", "volume_ma_20", "volume_ratio",
@@ -396,6 +397,7 @@ def engineer_features(df: DataFrame, drop_warmup_rows: bool = True, layout: Layo
 
 REQUIRED_INPUT = (TIME, *OHLCV)
 
+# Fixed values.
 DASHBOARD_FEATURES = (
     "return_pct", "log_return", "ma_7", "ma_25", "ema_12", "ema_26", "bb_upper", "bb_lower", "bb_mid", "bb_pct",
     "bb_width", "rsi_14", "macd", "macd_signal", "macd_hist", "atr_14", "volume_ratio", "rolling_vol_30",
@@ -421,14 +423,12 @@ def rolling_indicators() -> list[Indicator]:
 
 
 def features_dashboard(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
-    """Dashboard profile; warm-up values are filled forward and then with 0.
-
-    On candles without nulls only leading warm-up values are null, so the forward fill is a no-op.
-    """
+    """Dashboard profile; missing values are filled forward and then with 0."""
     out = with_indicators(df.select(*SERIES, TIME, *OHLCV), rolling_indicators(), layout)
-    return out.fillna(0.0, list(DASHBOARD_FEATURES)).select(*SERIES, TIME, *OHLCV, *DASHBOARD_FEATURES)
+    return ffill_zero(out, list(DASHBOARD_FEATURES), layout).select(*SERIES, TIME, *OHLCV, *DASHBOARD_FEATURES)
 
 
+# Fixed values.
 SERVE_GROUPS = {
     # column that decides -> columns written when it is missing or null in every row of a series
     "return_pct": ("return_pct",),

@@ -68,7 +68,7 @@ def _learner(name: str, params: dict, seed: int = 42):
 
 
 def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error").transform(df)
 
 
 def oof_predictions(rows: DataFrame, features: list[str], params: dict | None = None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 ``Ewm``, ``y_t = a*x_t + (1-a)*y_(t-1)``: a sub-block of 512 rows is summed in closed form with
 weights relative to its first row, so the weights stay far from overflow. The ends of the
-sub-blocks before are added with the decay of whole sub-blocks, and the sum is cut where all
-further terms are below 1e-20 of the value. The rows needed for that are the halo of the block.
+sub-blocks before are added with the decay of whole sub-blocks, joined by doubling: 1, 2, 4, .. of them with
+one ``lag`` each. A block starts so many rows early (its halo) that whatever lies before has decayed
+below the smallest double, so means that fade away over a long quiet run keep their ratio.
 
 ``Roll``, mean or sample deviation of the last n rows: a sliding frame evaluates its aggregate over
 all n rows of every row. Here the moments of 1, 4, 16, 64, .. rows are built by joining four quarters
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from wickframe.operators.blocks import SUB, over_block, over_sub
 from wickframe.schema import SERIES
 
+FADED = 324.0  # decimal digits after which a double has faded to 0
 MAX_ALPHA = 0.72  # above it the weights of a sub-block leave the range of a double
 
 
@@ -43,8 +45,12 @@ class Ewm:
 
     @property
     def terms(self) -> int:
-        """Sub-blocks before the last one that still contribute."""
-        return max(0, math.ceil(20.0 / (-math.log10(1.0 - self.alpha) * SUB)) - 1)
+        """Sub-blocks before the last one whose decay is still a positive double."""
+        return max(0, math.ceil(FADED / (-math.log10(1.0 - self.alpha) * SUB)) - 1)
+
+    @property
+    def doublings(self) -> int:
+        return self.terms.bit_length()
 
     @property
     def halo(self) -> int:
@@ -172,27 +178,26 @@ def with_scans(df: DataFrame, columns: dict[str, Ewm | Roll], keys=SERIES) -> Da
     def keep(c: Column) -> Column:
         return F.coalesce(c, F.lit(0.0))
 
-    sums, ends, lags, result = {}, {}, {}, {}
+    sums, ends, result = {}, {}, {}
     for n, e in columns.items():
         q = 1.0 - e.alpha
-        x = F.col(e.column)
+        x = F.coalesce(F.col(e.column), F.raise_error(F.lit(f"weighted mean of {e.column}: a value is null")).cast("double"))
         sums[f"_u_{n}"] = F.sum(F.when(first_row, x).otherwise(x * e.alpha) * F.pow(F.lit(q), -p)).over(upto)
         last = F.last(F.when(at_end, F.col(f"_u_{n}")), ignorenulls=True).over(before)
         ends[f"_e_{n}"] = keep(last) * q**SUB
-        carry = F.col(f"_e_{n}")
-        for j in range(1, e.terms + 1):
-            lags[f"_e_{n}_{j}"] = keep(F.lag(f"_e_{n}", SUB * j).over(w)) * q ** (SUB * j)
-            carry = carry + F.col(f"_e_{n}_{j}")
-        result[n] = (F.col(f"_u_{n}") + carry) * F.pow(F.lit(q), p)
+        result[n] = (F.col(f"_u_{n}") + F.col(f"_e_{n}")) * F.pow(F.lit(q), p)
+    doublings = max((e.doublings for e in columns.values()), default=0)
     out = df.withColumns(sums) if sums else df
     steps = _Rolls(rolls, keys)
-    for level in range(max(steps.levels, 2 if columns else 0)):
-        extra = ends if level == 0 else lags if level == 1 else {}
-        windows = {**steps.lags(level), **extra}
+    for level in range(max(steps.levels, doublings + 1 if columns else 0)):
+        live = {n: e for n, e in columns.items() if 0 < level <= e.doublings}
+        far = SUB * 2 ** (level - 1) if level else 0
+        lags = {f"_l_{n}": keep(F.lag(f"_e_{n}", far).over(w)) * (1.0 - e.alpha) ** far for n, e in live.items()}
+        windows = {**steps.lags(level), **(ends if level == 0 else lags)}
         if windows:
             out = out.withColumns(windows)
-        joined = steps.join(level)
+        joined = {**steps.join(level), **{f"_e_{n}": F.col(f"_e_{n}") + F.col(f"_l_{n}") for n in live}}
         if joined:
             out = out.withColumns(joined)
     out = out.withColumns({**result, **steps.results()})
-    return out.drop(*sums, *ends, *lags, *steps.made)
+    return out.drop(*sums, *ends, *[f"_l_{n}" for n in columns], *steps.made)

@@ -57,7 +57,7 @@ def stream_latest(candles: DataFrame) -> DataFrame:
     return candles.groupBy(*KEYS).agg(F.max(TIME).alias(TIME), *[F.max_by(c, TIME).alias(c) for c in OHLCV])
 
 
-def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, seq: str | None = "seq"):
+def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, seq: str = "seq", query: str = "batch"):
     """Function for ``foreachBatch``: clean, merge into the table, append to the run log.
 
     A repeated batch merges the same rows again and writes the same run id, so a restart after a
@@ -65,14 +65,15 @@ def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, se
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        at, run_id = F.current_timestamp(), f"batch-{batch_id}"
-        rows = batch if seq and seq in batch.columns else batch.withColumn("seq", F.lit(0))
-        cleaned = clean_candles(rows, seq=seq or "seq")
+        at, run_id = F.current_timestamp(), f"{query}-{batch_id}"
+        if seq not in batch.columns:
+            raise ValueError(f"column {seq} is needed to tell which of several candles came last")
+        cleaned = clean_candles(batch, seq=seq)
         started = store.log_start(cleaned.select(*KEYS).distinct(), "incremental", at, run_id)
         try:
             counts = store.merge_into_store(spark, path, cleaned, at, f"{scratch}/{run_id}-{uuid.uuid4().hex}")
         except Exception as error:
-            store.log_finish(started, None, at, str(error)[:500]).write.mode("append").parquet(log_path)
+            store.log_finish(started, None, at, str(error)).write.mode("append").parquet(log_path)
             raise
         events = started.unionByName(store.log_finish(started, counts, F.current_timestamp()))
         events.write.mode("append").parquet(log_path)
