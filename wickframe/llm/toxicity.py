@@ -9,7 +9,8 @@ toxic one saves is evidence. A document is cut into windows (one word with its b
 overlapping pieces), each compressed with both dictionaries. Windows are written in two bytes per
 character, so a five-letter match outweighs the fixed cost of a match.
 
-Calibration uses labelled documents that trained no dictionary: a logistic model of the largest
+Calibration uses labelled documents that the calibrated dictionaries have not seen (those in use are then
+trained on all examples): a logistic model of the largest
 saving and of the number of windows above the level that hardly any ordinary window reaches.
 
 Nulls, ties and edge cases: a null or empty text has no window and gets the score of a document without
@@ -228,7 +229,7 @@ def learn(
     """Train on a bounded sample of labelled rows.
 
     At most ``n_toxic`` and ``n_ordinary`` documents of at most ``max_bytes`` bytes, the first by a
-    hash of their id; two thirds train the dictionaries, the rest calibrates. ``allowed`` says
+    hash of their id; dictionaries of two thirds are calibrated on the rest, then trained on all. ``allowed`` says
     which documents may be used at all (default: each).
     """
     allowed = F.lit(True) if allowed is None else allowed
@@ -247,6 +248,7 @@ def learn(
         return None
     with_toxic, with_ordinary, _ = train_dictionaries(toxic, ordinary)
     cut, weights = calibrate(with_toxic, with_ordinary, held)
+    with_toxic, with_ordinary, _ = train_dictionaries([t for t, y in rows if y == 1], [t for t, y in rows if y == 0])
     return ToxicityModel(with_toxic, with_ordinary, cut, weights)
 
 
