@@ -174,11 +174,16 @@ def test_language(spark):
 
 
 def test_toxicity(spark):
-    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
-    rows = toxicity.op2_toxicity(spark, SF).join(labels, "doc_id").filter("held_out").collect()
+    """Held-out labels at sf0.1; measured there: 0.82 of the toxic documents found, 0.008 of the others flagged (see README)."""
+    folder, recall, false = "/root/testdata/sf0.1", 0.8, 0.015
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.op2_toxicity(spark, folder).join(labels, "doc_id").filter("held_out").collect()
     toxic = [r.predicted for r in rows if r.toxic == 1]
     clean = [r.predicted for r in rows if r.toxic == 0]
-    assert sum(toxic) / len(toxic) >= 0.8 and sum(clean) / len(clean) <= 0.03
+    assert sum(toxic) / len(toxic) >= recall and sum(clean) / len(clean) <= false
+
+
+def test_odd_texts(spark):
     odd = spark.createDataFrame([(1, None, 1), (2, "", 2), (2, "", 2), (None, "x" * 9000, 3)], "doc_id long, text string, score int")
     model = toxicity.ToxicityModel(b"abc", b"abc", 1, (-3.0, 1.0, 1.0))
     got = toxicity.score_toxicity(odd, model).collect()

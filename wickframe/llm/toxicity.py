@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained. The toxic one holds the segments that set toxic text apart:
-starting from byte 5-grams that are much more frequent in toxic documents, the one in most documents
+starting from byte 5-grams that are significantly more frequent in toxic documents, the one in most documents
 is grown while its neighbours agree, its words are taken out, and so on until no gram is left. The
 ordinary one holds every piece of those segments that ordinary text uses too. The toxic dictionary
 ends with the same pieces, so that an ordinary window compresses alike with either, and what the
@@ -11,7 +11,7 @@ character, so a five-letter match outweighs the fixed cost of a match.
 
 Calibration uses labelled documents that the calibrated dictionaries have not seen (those in use are then
 trained on all examples): a logistic model of the largest
-saving and of the number of windows above the level that hardly any ordinary window reaches.
+saving and of the number of windows above the level that tells the labels apart best.
 
 Nulls, ties and edge cases: a null or empty text has no window and gets the score of a document without
 evidence; a null label, or one of a document that is not there, is not used; of several labels of a
@@ -35,8 +35,8 @@ from wickframe.llm.common import give_back, map_rows, table
 from wickframe.llm.memo import Memo
 
 GRAM = 5  # bytes of the grams that segments grow from
-RATIO = 20.0  # a gram's document frequency in toxic against ordinary text
-SHARE = 0.01  # of the toxic documents, at least four, must hold a gram
+RATIO = 5.0  # a gram's document frequency in toxic against ordinary text, at least
+DEVIATES = 5.0  # deviations by which its toxic documents exceed what ordinary text lets expect
 WIDTH, STEP = 48, 32  # characters of a window cut from a longer run
 PAD = "\n" * 16
 EDGES = b".,!?;:*#&%$\"'()[]|"
@@ -110,7 +110,6 @@ def _bare(text: bytes) -> set[bytes]:
 def contrast_segments(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Byte strings that set toxic documents apart, the most frequent first."""
     toxic = without_copies(toxic)
-    least = max(4, SHARE * len(toxic))
     docs: dict[bytes, set[int]] = defaultdict(set)
     for i, text in enumerate(toxic):
         for w in _bare(text):
@@ -127,8 +126,8 @@ def contrast_segments(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         return len(set().union(*(docs[w] for w in holders[gram]))) if holders[gram] else 0
 
     def stands_out(gram: bytes, n: int) -> bool:
-        share = (n + 0.5) / (len(toxic) + 1)
-        return n >= least and share >= RATIO * (usual[gram] + 0.5) / (len(ordinary) + 1)
+        expected = (usual[gram] + 0.5) / (len(ordinary) + 1) * len(toxic)
+        return n >= RATIO * expected and n - expected >= DEVIATES * math.sqrt(expected + 1)
 
     grams = {g: n for g in holders if stands_out(g, n := weight(g))}
     out = []
@@ -200,27 +199,40 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     return _wide("".join(s + "\n" for s in segments) + shared), _wide(shared), segments
 
 
-def calibrate(toxic: bytes, ordinary: bytes, examples: list[tuple[bytes, int]]) -> tuple[int, tuple[float, float, float]]:
-    """Level of evidence and logistic weights (intercept, largest saving, log count)."""
+def calibrate(toxic: bytes, ordinary: bytes, examples: list[tuple[bytes, int]], prior: float = 0.5) -> tuple[int, tuple[float, float, float]]:
+    """Saving that counts as evidence, and logistic weights (intercept, largest saving, log count).
+
+    The examples of a class weigh as much together as ``prior``, the share of toxic labels, says.
+
+    Of all levels of evidence the one that makes the labels likeliest is taken, the lowest of equals.
+    """
     save = Memo(_saving(toxic, ordinary))
-    found = [([save[w] for w in windows(text)], label) for text, label in examples]
-    tops = sorted(max(s, default=0) for s, label in found if label == 0)
-    cut = tops[int(0.999 * (len(tops) - 1))] + 1 if tops else 1
-    least = sorted(max(s, default=0) for s, label in found if label == 1)
-    cut = max(cut, (cut + least[len(least) // 100]) // 2) if least else cut
-    x = np.array([[1.0, max(s, default=0), math.log1p(sum(v >= cut for v in s))] for s, _ in found])
-    y = np.array([label for _, label in found], float)
-    part = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)  # classes weigh alike
-    w = np.zeros(3)
+    found = [[save[w] for w in windows(text)] for text, _ in examples]
+    y = np.array([label for _, label in examples], float)
+    part = np.where(y == 1, prior / max(y.sum(), 1), (1 - prior) / max((1 - y).sum(), 1)) * len(y)
+    tops = [max(s, default=0) for s in found]
+    best = None
+    for cut in range(1, max(2, min(max(tops, default=1), 12) + 1)):
+        x = np.array([[1.0, top, math.log1p(sum(v >= cut for v in s))] for s, top in zip(found, tops)])
+        weights, loss = _fit(x, y, part)
+        if best is None or loss < best[0] - 1e-9:
+            best = loss, cut, weights
+    return best[1], tuple(float(v) for v in best[2])
+
+
+def _fit(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic weights with a small penalty, by Newton's method, and their loss."""
+    w, ridge = np.zeros(3), np.array([1e-3, 0.1, 0.1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (part * (y - p)) - np.array([0.0, 0.1, 0.1]) * w
-        hess = (x * (part * p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 0.1, 0.1])
+        grad = x.T @ (part * (y - p)) - ridge * w
+        hess = (x * (part * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(hess, grad)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    return cut, tuple(float(v) for v in w)
+    z = np.clip(x @ w, -30, 30)
+    return w, float((part * (np.logaddexp(0, z) - y * z)).sum() + (ridge * w * w).sum() / 2)
 
 
 def learn(
@@ -235,6 +247,7 @@ def learn(
     allowed = F.lit(True) if allowed is None else allowed
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & allowed)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+    share = known.agg(F.avg((F.col("_toxic") == 1).cast("double"))).first()[0]
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     short = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes) & allowed).select("doc_id", "text")
     rows = []
@@ -247,7 +260,7 @@ def learn(
     if not toxic or not ordinary or len({y for _, y in held}) < 2:
         return None
     with_toxic, with_ordinary, _ = train_dictionaries(toxic, ordinary)
-    cut, weights = calibrate(with_toxic, with_ordinary, held)
+    cut, weights = calibrate(with_toxic, with_ordinary, held, share)
     with_toxic, with_ordinary, _ = train_dictionaries([t for t, y in rows if y == 1], [t for t, y in rows if y == 0])
     return ToxicityModel(with_toxic, with_ordinary, cut, weights)
 
