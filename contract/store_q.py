@@ -48,7 +48,7 @@ def _ranges(spark, sf):
 
 def _union(spark, sf):
     b = bars_1d(spark, sf)
-    return store.union_series({s: b.filter(F.col("symbol") == s).drop("symbol") for s in ("1-URGENT", "2-HIGH", "5-LOW")})
+    return store.union_series({s: b.filter(F.col("symbol") == s).drop("symbol") for s in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")})
 
 
 def _records(spark, sf):
@@ -67,7 +67,7 @@ QUERIES = {
     "lookback_filter": lambda s, d: out(store.lookback_filter(bars_1d(s, d), datetime(2001, 8, 1), 365)),
     "latest_n": lambda s, d: out(store.latest_n(bars_1h(s, d), 30)),
     "latest_price": lambda s, d: out(store.latest_price(bars_1h(s, d))),
-    "data_summary": lambda s, d: out(store.data_summary(stored(s, d))),
+    "data_summary": lambda s, d: out(store.data_summary(bars_1h(s, d).withColumn("updated_at", F.lit(T0)))),
     "latest_timestamp": lambda s, d: out(store.latest_timestamp(bars_supp(s, d))),
     "upsert_candles": lambda s, d: out(merged(s, d)),
     "upsert_counts": lambda s, d: out(store.upsert_counts(merged(s, d))),
@@ -130,7 +130,7 @@ SQL = {
     "lookback_filter": f"{B1D} select {CANDLE} from bars where open_time >= timestamp '2001-08-01' - interval 365 days",
     "latest_n": f"{B1H} select {CANDLE} from bars qualify row_number() over (partition by symbol, timeframe order by open_time desc) <= 30",
     "latest_price": f"{B1H} select {CANDLE} from bars qualify row_number() over (partition by symbol, timeframe order by open_time desc) = 1",
-    "data_summary": f"{STORED} select symbol, timeframe, count(*) as total_rows, min(open_time) as earliest, max(open_time) as latest, max(updated_at) as last_updated from stored group by 1, 2",
+    "data_summary": f"{B1H} select symbol, timeframe, count(*) as total_rows, min(open_time) as earliest, max(open_time) as latest, timestamp '2024-01-31' as last_updated from bars group by 1, 2",
     "latest_timestamp": f"with bars as ({BARS_SUPP}) select symbol, timeframe, max(open_time) as latest from bars group by 1, 2",
     "upsert_candles": f"{STORED} select {CANDLE}, created_at, updated_at, action from merged",
     "upsert_counts": f"{STORED} select * from counts",
@@ -143,7 +143,7 @@ SQL = {
       from s left join counts using (symbol, timeframe)
       union all select 'run-2', symbol, timeframe, 'incremental', timestamp '2024-02-01', case when symbol = 'error' then timestamp '2024-02-02' end, 0, 0,
              case when symbol = 'error' then 'error' else 'running' end, case when symbol = 'error' then 'timeout' end from s""",
-    "union_series": f"{B1D} select {CANDLE} from bars where symbol in ('1-URGENT', '2-HIGH', '5-LOW')",
+    "union_series": f"{B1D} select {CANDLE} from bars",
     "chrono_split": f"{NUMBERED} select {CANDLE}, case when rn < floor(n * 0.85::double) then 'train' else 'test' end as split from n",
     "three_way_split": f"{NUMBERED} select {CANDLE}, case when rn < floor(floor(n * 0.85::double) * 0.85::double) then 'train' when rn < floor(n * 0.85::double) then 'calibration' else 'test' end as split from n",
     "export_dataset": f"""{NUMBERED}, x as (select *, rn < floor(n * 0.85::double) as tr from n)

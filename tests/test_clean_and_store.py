@@ -102,6 +102,14 @@ def test_merge_into_store(spark, tmp_path):
     assert (b.rows_inserted, b.rows_updated) == (10, 10)
     t = store.read_store(spark, path)
     assert t.count() == 70 and t.filter("close = 1").count() == 20
+    fresh = later.select("symbol", "timeframe", F.date_format("open_time", "yyyy-MM").alias("month"))
+    pruned = store.touched_partitions(t, fresh)
+    assert {r[0] for r in pruned.select(F.date_format("open_time", "yyyy-MM")).distinct().collect()} == {"2023-02", "2023-03"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2_000)
+    scan = next(x for x in pruned._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x)
+    assert "2023-02" in scan.split("PartitionFilters")[1]
+    assert store.touched_partitions(t, fresh.filter("false")).count() == 0
+    assert dict(spark.read.parquet(path).dtypes)["close"] == "decimal(24,8)"
     old = t.filter("open_time = '2023-02-25'").first()
     assert (old.created_at, old.updated_at) == (datetime(2024, 1, 1), datetime(2024, 1, 2))
 

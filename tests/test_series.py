@@ -12,7 +12,7 @@ from wickframe.operators import features as f
 from wickframe.operators import stats as st
 from wickframe.operators import supervised as sv
 from wickframe.operators.blocks import Layout, Running, index_series
-from wickframe.operators.quantiles import exact_quantiles, series_quantiles
+from wickframe.operators.quantiles import exact_quantiles
 
 SMALL = Layout(span=100, rows=1024)
 
@@ -148,11 +148,16 @@ def test_lead_across_blocks(candles):
 def test_quantiles_of_large_groups(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([np.exp(rng.normal(0, 3, 30_000)), np.full(15_000, 2.5), rng.integers(0, 5, 5_000)])
-    pdf = pd.DataFrame({"k": ["a"] * len(x) + ["b"] * 999, "x": np.concatenate([x, rng.normal(size=999)])})
+    sizes = {"b": 999, "c": 1, "d": 9_999, "e": 10_001, None: 40}
+    small = [rng.normal(size=n) for n in sizes.values()]
+    keys = ["a"] * len(x) + [k for k, n in sizes.items() for _ in range(n)]
+    pdf = pd.DataFrame({"k": pd.Series(keys, dtype=object), "x": np.concatenate([x, *small])})
     probs = {"lo": 0.001, "q33": 0.33, "mid": 0.5, "q66": 0.66, "hi": 0.999, "max_": 1.0}
-    df = spark.createDataFrame(pdf)
-    for r in exact_quantiles(df, ["k"], "x", probs, group_rows=10_000).collect():
-        v = pdf[pdf["k"] == r.k]["x"]
+    df = spark.createDataFrame(pdf, "k string, x double")
+    got = exact_quantiles(df, ["k"], "x", probs).collect()
+    assert len(got) == 6
+    for r in got:
+        v = pdf[pdf["k"].isna() if r.k is None else pdf["k"] == r.k]["x"]
         assert r.n == len(v)
         np.testing.assert_allclose([r[p] for p in probs], [v.quantile(q) for q in probs.values()], rtol=1e-12)
 
@@ -160,7 +165,7 @@ def test_quantiles_of_large_groups(spark):
 def test_quantiles_by_series_size(spark):
     pdf = pd.concat([candle_rows(12_000, "L", "1m", seed=5), candle_rows(50, "S", "1m", seed=6)])
     df = spark.createDataFrame(pdf)
-    got = series_quantiles(lambda only: index_series(df, only=only), f.SERIES, "close", {"m": 0.33}, group_rows=10_000).toPandas()
+    got = exact_quantiles(df, f.SERIES, "close", {"m": 0.33}).toPandas()
     for _, r in got.iterrows():
         assert r["m"] == pytest.approx(pdf[pdf["symbol"] == r["symbol"]]["close"].quantile(0.33), rel=1e-12)
 

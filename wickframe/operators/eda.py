@@ -13,6 +13,7 @@ from wickframe.functions.special import t_two_sided
 from wickframe.operators.blocks import DEFAULT, Layout, Running, drop_index, index_series, own, rolling, row_blocks, top_per_series
 from wickframe.operators.features import EPS
 from wickframe.operators.quantiles import exact_quantiles
+from wickframe.plans.lineage import written
 from wickframe.operators.stats import unpivot
 from wickframe.schema import CHART_BARS, DEFAULT_CHART_BARS, SERIES, TIME, lookup
 
@@ -256,10 +257,11 @@ def vif(df: DataFrame, features: list[str] | None = None, least: int = 50) -> Da
 def mutual_information(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
     """Mutual information of each feature with the return and with the next return, over quantile bins.
 
-    ``df`` has ``log_return`` and ``future_return``. Counts per bin pair are combined before the
+    ``df`` has ``log_return`` and ``future_return``; its complete rows are written once, since edges and
+    counts both read them. Counts per bin pair are combined before the
     shuffle: at most ``bins^2`` rows per series, feature and task.
     """
-    rows = df.select(*KEYS, TIME, *features, F.col("log_return").alias("_now"), F.col("future_return").alias("_next")).dropna()
+    rows = written(df.select(*KEYS, TIME, *features, F.col("log_return").alias("_now"), F.col("future_return").alias("_next")).dropna())
     long = unpivot(rows, [*features, "_now", "_next"])
     probs = {f"q{k}": k / bins for k in range(1, bins)}
     edges = exact_quantiles(long, [*KEYS, "feature"], "value", probs)

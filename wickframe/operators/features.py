@@ -23,8 +23,9 @@ from wickframe.operators.blocks import (
     own,
     row_blocks,
 )
-from wickframe.operators.quantiles import series_quantiles
+from wickframe.operators.quantiles import exact_quantiles
 from wickframe.operators.scans import Ewm, Roll, with_scans
+from wickframe.plans.lineage import written
 from wickframe.schema import DEFAULT_PERIODS, OHLCV, PERIODS_PER_YEAR, SERIES, TIME, lookup, require
 
 EPS = 1e-8
@@ -284,27 +285,22 @@ def drawdown(df: DataFrame, layout: Layout = DEFAULT, eps: float = 0.0) -> DataF
     return drop_index(out).drop("_peak")
 
 
-def atr_thresholds(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
-    """33 % and 66 % quantile of the Wilder ATR per series."""
-    candles = df.select(*SERIES, TIME, "high", "low", "close")
-    return series_quantiles(
-        lambda only: with_indicators(candles, [atr_wilder_def()], layout, only=only),
-        SERIES,
-        "atr_14",
-        {"_q33": 0.33, "_q66": 0.66},
-    ).drop("n")
+def atr_thresholds(measured: DataFrame) -> DataFrame:
+    """33 % and 66 % quantile of the Wilder ATR (column ``atr_14``) per series."""
+    return exact_quantiles(measured, SERIES, "atr_14", {"_q33": 0.33, "_q66": 0.66}).drop("n")
 
 
-def vol_regime_def() -> Indicator:
-    """Low/Mid/High by thresholds of ``atr_14`` that are series attributes."""
+def with_regime(measured: DataFrame) -> DataFrame:
+    """Low/Mid/High for a frame with ``atr_14``. It is read twice more for the thresholds, so it should be materialised."""
     atr = F.col("atr_14")
     label = F.when(atr >= F.col("_q66"), "High").when(atr <= F.col("_q33"), "Low").otherwise("Mid")
-    return Indicator(("atr_14", "vol_regime"), {**atr_wilder_def().levels, 3: {"vol_regime": label}}, 1)
+    labelled = measured.join(atr_thresholds(measured), list(SERIES), "left").withColumn("vol_regime", label)
+    return labelled.select(*measured.columns, "vol_regime")
 
 
 def vol_regime(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     """Low/Mid/High by the 33 % and 66 % quantile of ``atr_14`` over the whole series."""
-    return with_indicators(df, [vol_regime_def()], layout, attributes=atr_thresholds(df, layout))
+    return with_regime(written(with_indicators(df, [atr_wilder_def()], layout)))
 
 
 def calendar_parts(df: DataFrame) -> DataFrame:
@@ -383,12 +379,11 @@ def train_indicators() -> list[Indicator]:
 def engineer_features(df: DataFrame, drop_warmup_rows: bool = True, layout: Layout = DEFAULT) -> DataFrame:
     """The full training feature set: 40 columns after the candle.
 
-    The volatility thresholds use all rows of a series, warm-up rows included.
+    The volatility thresholds use all rows of a series, warm-up rows included. The indicators are
+    computed once and written to the shared folder; the thresholds read two of their columns there.
     """
     require(df, REQUIRED_INPUT)
-    candles = df.select(*SERIES, TIME, *OHLCV)
-    indicators = [*train_indicators(), vol_regime_def()]
-    out = with_indicators(candles, indicators, layout, attributes=atr_thresholds(candles, layout))
+    out = with_regime(written(with_indicators(df.select(*SERIES, TIME, *OHLCV), train_indicators(), layout)))
     out = encode_cyclical(calendar_parts(out))
     if drop_warmup_rows:
         out = drop_warmup(out)

@@ -7,104 +7,56 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000  # rank error of the sketch is n / ACCURACY
 MARGIN = 5.0 / ACCURACY
+RANKS = 5.0  # ranks that the margin covers at least; where it covers fewer, the bracket is the whole range
 BINS = 4_096
-GROUP_ROWS = 1_000_000  # groups up to this size use the built-in percentile
-MIN_LARGE = 10_000  # below it the bracket margin would be less than a few ranks
 
 
-def series_quantiles(build, keys, value: str, probs: dict[str, float], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Quantiles per series of a derived column, without evaluating it to learn the group sizes.
+def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join that also matches null keys."""
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    rest = [F.col(f"b.{c}") for c in b.columns if c not in keys]
+    return a.alias("a").join(b.alias("b"), on).select("a.*", *rest)
 
-    ``build(condition)`` returns the column for the series whose ``_total`` meets the condition.
-    """
-    keys, group_rows = list(keys), max(group_rows, MIN_LARGE)
-    names, ps = list(probs), [float(p) for p in probs.values()]
-
-    def part(condition):
-        x = build(condition)
-        return x.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-
-    small = _small(part(F.col("_total") <= group_rows), keys, names, ps)
-    return small.unionByName(_large(part(F.col("_total") > group_rows), keys, names, ps))
-
-
-def _small(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) -> DataFrame:
-    return (
-        x.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("_q"))
-        .select(*keys, "n", *[F.col("_q")[i].alias(c) for i, c in enumerate(names)])
-    )
 
-
-def exact_quantiles(
-    df: DataFrame, keys, value: str | Column, probs: dict[str, float], group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys, value: str | Column, probs: dict[str, float]) -> DataFrame:
     """One row per group: row count ``n`` and the linearly interpolated quantiles named in ``probs``.
 
-    Groups up to ``group_rows`` values use ``percentile``. Of a larger group, a mergeable sketch
-    first brackets every wanted rank (about 0.1 % of the values); only the values inside the
-    bracket are counted, cut into bins, and ranked within the bins that hold the rank. The result
-    is exact for both; a rank outside its bracket stops the job.
+    A mergeable sketch brackets every wanted rank; only the values inside the bracket are counted, cut
+    into bins, and ranked within the bins that hold the rank. The result is exact; a rank outside
+    its bracket stops the job. ``df`` is evaluated twice, for the sketch and for the counts, so cut
+    the lineage of a costly one first.
     """
     keys = list(keys)
-    group_rows = max(group_rows, MIN_LARGE)
     names, ps = list(probs), [float(p) for p in probs.values()]
     v = F.col(value) if isinstance(value, str) else value
     x = df.select(*keys, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    size = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    on = [F.col(f"x.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    sized = x.alias("x").join(size.alias("s"), on).select(*[F.col(f"x.{k}") for k in keys], "_v", "n")
-
-    small = _small(sized.filter(F.col("n") <= group_rows), keys, names, ps)
-    return small.unionByName(_large(sized.filter(F.col("n") > group_rows), keys, names, ps))
-
-
-def _large(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) -> DataFrame:
     edges = [e for p in ps for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    x = x.select(*keys, "_v")
     sketch = x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", edges, ACCURACY).alias("_b"),
     )
-    brackets = sketch.select(
-        *keys,
-        "n",
-        F.posexplode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(p).alias("p"),
-                        (F.col("_b")[2 * i] if edges[2 * i] > 0 else F.col("_min")).alias("lo"),
-                        (F.col("_b")[2 * i + 1] if edges[2 * i + 1] < 1 else F.col("_max")).alias("hi"),
-                    )
-                    for i, p in enumerate(ps)
-                ]
-            )
-        ).alias("_i", "_s"),
-    ).select(*keys, "n", "_i", "_s.*")
-    packed = brackets.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_i", "lo", "hi"))).alias("_bs")
-    )
+    wide = F.col("n") * MARGIN < RANKS
+    brackets = []
+    for i, p in enumerate(ps):
+        lo = F.col("_min") if edges[2 * i] <= 0 else F.when(wide, F.col("_min")).otherwise(F.col("_b")[2 * i])
+        hi = F.col("_max") if edges[2 * i + 1] >= 1 else F.when(wide, F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
+        brackets.append(F.struct(F.lit(i).alias("_i"), F.lit(p).alias("p"), lo.alias("lo"), hi.alias("hi")))
+    packed = sketch.select(*keys, "n", F.array(*brackets).alias("_bs"))
     # values inside a bracket keep their value; values below it are only counted
+    inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
+    place = F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
+    bin_ = F.when(F.col("_v") < F.col("lo"), F.lit(-1)).when(F.col("hi") > F.col("lo"), place).otherwise(F.lit(0))
+    group = [*keys, "_i"]
     counted = (
-        x.join(packed, keys)
-        .select(*keys, "_v", F.explode("_bs").alias("_s"))
-        .filter(F.col("_v") <= F.col("_s.hi"))
-        .withColumn("_in", F.when(F.col("_v") >= F.col("_s.lo"), F.col("_v")))
-        .groupBy(*keys, F.col("_s._i").alias("_i"), "_in")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(brackets, [*keys, "_i"])
-        .withColumn(
-            "_bin",
-            F.when(F.col("_in").isNull(), F.lit(-1))
-            .when(F.col("hi") > F.col("lo"), F.floor((F.col("_in") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS))
-            .otherwise(F.lit(0)),
-        )
+        _join(x, packed, keys)
+        .select(*keys, "n", "_v", F.inline("_bs"))
+        .filter(F.col("_v") <= F.col("hi"))
+        .groupBy(*group, bin_.alias("_bin"), inside.alias("_in"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("n").alias("n"), F.first("p").alias("p"))
     )
-    group = [*keys, "_i"]
-    bins = counted.groupBy(*group, "_bin", "n", "p").agg(F.sum("_n").alias("_m"))
+    bins = counted.groupBy(*group, "_bin").agg(F.sum("_n").alias("_m"), F.first("n").alias("n"), F.first("p").alias("p"))
     before = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col("p") * (F.col("n") - 1)
     bins = (
@@ -114,7 +66,7 @@ def _large(x: DataFrame, keys: list[str], names: list[str], ps: list[float]) ->
     )
     upto = Window.partitionBy(*group, "_bin").orderBy("_in").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        counted.join(bins, [*group, "_bin"])
+        _join(counted, bins, [*group, "_bin"])
         .withColumn("_end", F.col("_base") + F.sum("_n").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )

@@ -8,20 +8,26 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickframe.operators.blocks import DEFAULT, Layout, drop_index, index_series, top_per_series
-from wickframe.schema import OHLCV, SERIES, TIME
+from wickframe.schema import OHLCV, SERIES, STORED_CANDLE, TIME
 
 PARTITIONS = ("timeframe", "symbol", "month")
+MONTH = "yyyy-MM"
 
 
 def read_candles(df: DataFrame, symbol: str, timeframe: str, since=None, until=None) -> DataFrame:
-    """One series between two inclusive instants, in time order."""
+    """One series between two inclusive instants, in time order. Of a stored table only the months between them are read."""
     out = df.filter((F.col("symbol") == symbol) & (F.col("timeframe") == timeframe))
     if since is not None:
         out = out.filter(F.col(TIME) >= F.lit(since))
+        if "month" in df.columns:
+            out = out.filter(F.col("month") >= F.date_format(F.lit(since), MONTH))
     if until is not None:
         out = out.filter(F.col(TIME) <= F.lit(until))
+        if "month" in df.columns:
+            out = out.filter(F.col("month") <= F.date_format(F.lit(until), MONTH))
     return out.select(TIME, *OHLCV).orderBy(TIME)
 
 
@@ -79,12 +85,15 @@ def upsert_counts(merged: DataFrame) -> DataFrame:
 
 
 def _month(t: str = TIME) -> Column:
-    return F.date_format(t, "yyyy-MM")
+    return F.date_format(t, MONTH)
 
 
 def write_candles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write candles with the decimal types of ``STORED_CANDLE``."""
+    stored = {f.name: F.col(f.name).cast(f.dataType) for f in STORED_CANDLE.fields if f.name in OHLCV}
     (
-        df.withColumn("month", _month())
+        df.withColumns(stored)
+        .withColumn("month", _month())
         .repartition(*PARTITIONS)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -93,10 +102,7 @@ def write_candles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-STORE_SCHEMA = ", ".join(
-    [f"{TIME} timestamp", *[f"{c} double" for c in OHLCV], "created_at timestamp", "updated_at timestamp"]
-    + [f"{c} string" for c in PARTITIONS]
-)
+STORE_SCHEMA = T.StructType([f for f in STORED_CANDLE.fields if f.name not in PARTITIONS] + [T.StructField(c, T.StringType()) for c in PARTITIONS])
 
 
 def init_store(spark: SparkSession, path: str) -> None:
@@ -105,22 +111,38 @@ def init_store(spark: SparkSession, path: str) -> None:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+    """The table as doubles; its files hold decimals."""
+    return spark.read.schema(STORE_SCHEMA).parquet(path).withColumns({c: F.col(c).cast("double") for c in OHLCV})
+
+
+def touched_partitions(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Rows of ``stored`` in the partitions that ``fresh`` (written, so it is cheap to read twice) has rows in.
+
+    Range of months and of names come as literals, which prune the listing of files; the semi join
+    keeps the exact partitions. The driver sees one row.
+    """
+    edges = fresh.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in PARTITIONS for f in (F.min, F.max)]).first()
+    if edges["min_month"] is None:
+        return stored.filter(F.lit(False))
+    for c in PARTITIONS:
+        stored = stored.filter(F.col(c).between(F.lit(edges[f"min_{c}"]), F.lit(edges[f"max_{c}"])))
+    return stored.join(fresh.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
 
 
 def merge_into_store(spark: SparkSession, path: str, incoming: DataFrame, now: Column, scratch: str) -> DataFrame:
     """Upsert into the table at ``path`` and return the counts per series.
 
-    Only months that receive rows are read and rewritten. The merged months are written to
-    ``scratch`` (a shared folder, one per call) before they replace the old ones, so a lost
-    executor cannot make the job read half-replaced partitions. One writer at a time.
+    The incoming rows are written to ``scratch`` (a shared folder, one per call) first; their range of
+    partitions prunes the table. Only months that receive rows are rewritten. The merged months go to ``scratch``
+    too before they replace the old ones, so a lost executor cannot make the job read half-replaced
+    partitions. One writer at a time.
     """
-    fresh = incoming.select(*SERIES, TIME, *OHLCV).withColumn("month", _month())
-    touched = fresh.select(*PARTITIONS).distinct()
-    stored = read_store(spark, path).join(touched, list(PARTITIONS), "left_semi")
+    incoming.select(*SERIES, TIME, *OHLCV).withColumn("month", _month()).write.mode("errorifexists").parquet(f"{scratch}/fresh")
+    fresh = spark.read.parquet(f"{scratch}/fresh")
+    stored = touched_partitions(read_store(spark, path), fresh)
     merged = upsert_candles(stored.drop("month"), fresh.drop("month"), now)
-    merged.write.mode("errorifexists").parquet(scratch)
-    merged = spark.read.parquet(scratch)
+    merged.write.mode("errorifexists").parquet(f"{scratch}/merged")
+    merged = spark.read.parquet(f"{scratch}/merged")
     write_candles(merged.drop("action"), path)
     return upsert_counts(merged)
 

@@ -82,8 +82,11 @@ def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, se
 
 
 def stream_upsert(candles: DataFrame, path: str, log_path: str, scratch: str, checkpoint: str):
-    """Continuous upsert of what is available now; returns the streaming query."""
-    writer = upsert_batch(candles.sparkSession, path, log_path, scratch)
+    """Continuous upsert of what is available now; returns the streaming query.
+
+    Run ids come from the checkpoint folder, so runs of different streams stay apart in the log.
+    """
+    writer = upsert_batch(candles.sparkSession, path, log_path, scratch, query=str(uuid.uuid5(uuid.NAMESPACE_URL, checkpoint)))
     return candles.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
