@@ -219,6 +219,16 @@ def test_urls(spark):
     assert got[9][:2] == ("h", "") and got[10][:2] == ("h", "")
 
 
+def test_urls_of_a_large_host(spark):
+    """Hundreds of first segments on one host: the frequent blocked branch stays apart from the clean ones."""
+    urls = [f"http://big.example.com/de/{'abcdefghij'[i % 10]}" for i in range(3000)]
+    names = ["".join("abcdefghij"[int(c)] for c in f"{i:03}") for i in range(400)]
+    urls += [f"http://big.example.com/{names[i % 400]}/x" for i in range(2000)]
+    got = url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+    assert all(r.template.startswith("/de/") == (r.page_id < 3000) for r in got)
+    assert all(r.verdict == ("block" if r.page_id < 3000 else "allow") for r in got)
+
+
 def test_warc(spark, tmp_path):
     rows = [(i, f"http://h/{i}\n", "é" * (i % 7) if i % 5 else None, i) for i in range(300)] + [(None, None, "only", 1), (-4, "u", "x" * 400_000, 2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, frame int")

@@ -3,8 +3,8 @@
 Rules (host, path prefix) decide where they fit; the longest wins. Every other URL is judged by its
 template. Per host, a path is cut into segments; segments with digits or of great length become wildcards. Then the
 tree is walked from the root: below each node, branches whose share of blocked pages does not differ
-significantly from their siblings' are merged into one wildcard branch, as are branches beyond a number of
-children that only variable segments reach. Each template's purity is the share of its pages that
+significantly from their siblings' are merged into one wildcard branch, however many branches there are (rare ones,
+as variable segments make them, do not differ significantly). Each template's purity is the share of its pages that
 a rule blocks, smoothed towards the host's share; templates of at least ``PURE`` are rejected.
 Only counts per (host, path shape) are walked, and pages are joined with the verdicts once.
 
@@ -22,7 +22,7 @@ from wickframe.llm.common import cut, table
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DEPTH = 3  # levels of the tree; what lies below is one wildcard
-CHILDREN = 50  # more different branches than this mean a variable segment
+CHILDREN = 50  # only the SQL merges all branches beyond this number, which the given tables do not reach
 LONG = 24  # characters from which a segment is variable
 Z2 = 3.841  # square of the normal deviate at 5 %
 WEIGHT = 10.0  # pages that the host's share counts as
@@ -74,7 +74,7 @@ def template_tree(counts: DataFrame) -> DataFrame:
         off = b * (pn - n) - (pb - b) * n
         alike = off * off * pn < F.lit(Z2) * pb * (pn - pb) * n * (pn - n)
         uniform = (F.col("_pb") == 0) | (F.col("_pb") == F.col("_pn"))
-        merge = (F.col("_seg") != "") & (F.col("_children") > 1) & (uniform | alike | (F.col("_children") > CHILDREN))
+        merge = (F.col("_seg") != "") & (F.col("_children") > 1) & (uniform | alike)
         names = branch.join(parent, ["host", "template"]).select(
             "host", "template", "_seg", F.when(merge, F.lit("*")).otherwise(F.col("_seg")).alias("_as")
         )
