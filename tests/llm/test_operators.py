@@ -123,6 +123,20 @@ def test_retrieval_recall():
     assert np.mean(hits) >= 0.9
 
 
+def test_packing_finds_neighbours_anywhere(spark):
+    """Forty subjects of ten documents, dealt so that no run of forty documents has one twice."""
+    rng = random.Random(3)
+    words = re.findall("[a-z]{4,}", " ".join(r[1] or "" for r in documents()[:300]))
+    subjects = [rng.sample(sorted(set(words)), 25) for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(subjects[i % 40]) for _ in range(80))) for i in range(400)]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), packing.word_tokenizer(), shard_tokens=10_000).collect()
+    windows = defaultdict(set)
+    for r in got:
+        windows[r.sequence_id].add(r.doc_id)
+    pairs = [a % 40 == b % 40 for w in windows.values() for a in w for b in w if a < b]
+    assert {r.doc_id for r in got} == set(range(400)) and np.mean(pairs) > 0.4
+
+
 def test_byte_bpe(docs):
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

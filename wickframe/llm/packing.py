@@ -1,12 +1,15 @@
 """Packing by lexical retrieval.
 
-Documents are tokenised where they lie. A task gathers a shard of about ``SHARD_TOKENS`` tokens (never
-more than that plus one document), builds a BM25 inverted index over it, and packs it: the first
-unused document is the seed of a window, and the unused documents that score best for the seed's
-terms follow until the window is full (terms that most documents of the shard hold are left out: recall of
-the best five stays above 0.95). A document that does not fit is cut, and its rest is the
-seed of the next window. What is left at the end of a shard goes into sequences whose
-lengths are powers of two, so nothing is padded. No text or token crosses the network.
+Documents are tokenised once, and the documents and tokens of the whole corpus are counted, so BM25 weights
+are those of the whole corpus. Then documents are routed to shards of about ``SHARD_TOKENS`` tokens by lexical
+likeness, wherever they lie: a tree of two-means splits is grown on a sample of projected BM25 vectors,
+every document descends it, and leaves side by side fill a shard. A leaf too large for one shard whose
+documents the tree cannot tell apart (copies) is dealt over several. A task builds a BM25 inverted index over
+each shard and packs it: the first unused document is the seed of a window, and the unused documents that
+score best for the seed's terms, common ones included, follow until the window is full. A document that does not fit is cut,
+and its rest is the seed of the next window. What is left at the end of a shard goes into sequences whose lengths are
+powers of two, so nothing is padded. Neighbours in another shard are not found; the README has the measured
+share. Tokens are written to the shared folder and shuffled once, and jobs run when the function is called.
 
 The tokenizer splits at white space, and between a letter and the punctuation behind it, before it
 merges anything. So a text is split there, and each different piece is encoded by the tokenizer
@@ -21,7 +24,9 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickframe.llm.common import arrow_schema, give_back, table
+from wickframe.llm.common import arrow_schema, give_back, shared_folder, table
 
 WINDOW = 2048
 END = 1
-SHARD_TOKENS = 600_000
-COMMON_TERM = 0.5  # terms in a larger share of a shard's documents are not looked up
+SHARD_TOKENS = 2_000_000
+LEAF = 0.25  # tokens of a leaf of the routing tree, in shards
+SAMPLE = 100  # documents a shard that the tree is grown on, at least 5,000 in all and at most 200,000
+DIMS = 128  # of the projected vectors
 K1, B = 1.2, 0.75
 MEMO = 200_000  # pieces remembered, in two generations
 CUT = re.compile(rb"(?<=[a-z])(?=[.,*$%&#!?;:)])")
@@ -93,10 +100,25 @@ class PieceEncoder:
         return [self._whole(t) if s is None else b"".join(map(ids, s)) for t, s in zip(texts, split)]
 
 
+@dataclass
+class Statistics:
+    """Documents, tokens and documents by term of the whole corpus."""
+
+    n: int
+    tokens: int
+    df: np.ndarray
+
+    def weights(self, term: np.ndarray, tf: np.ndarray, size) -> np.ndarray:
+        """BM25 weights of postings."""
+        df = self.df[term]
+        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / (self.tokens / self.n)))
+
+
 class Shard:
-    """BM25 inverted index over the documents of one shard (arrays of ids)."""
+    """BM25 inverted index over the documents of one shard (arrays of ids), by default with its own statistics."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
         self.n = len(docs)
         sizes = np.array([len(d) for d in docs], np.int64)
         term = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
@@ -105,13 +127,15 @@ class Shard:
         self.term, first, df = np.unique(pairs // max(self.n, 1), return_index=True, return_counts=True)
         self.first, self.df = first, df
         self.doc = pairs % max(self.n, 1)
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        size = sizes[self.doc] / max(sizes.mean(), 1e-9) if self.n else sizes
-        self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size))
+        if statistics is None:
+            own = np.zeros(int(self.term[-1]) + 1 if len(self.term) else 0, np.int64)
+            own[self.term] = df
+            statistics = Statistics(max(self.n, 1), max(int(sizes.sum()), 1), own)
+        self.weight = statistics.weights(np.repeat(self.term, df), tf, sizes[self.doc])
         self.docs = docs
 
-    def scores(self, seed: int, common: float = COMMON_TERM) -> np.ndarray:
-        """BM25 of all documents for the terms of ``seed``, without those of one or of most documents."""
+    def scores(self, seed: int, common: float = 1.0) -> np.ndarray:
+        """BM25 of all documents for the terms of ``seed``; terms of no other document add nothing to the others."""
         at = np.searchsorted(self.term, np.unique(self.docs[seed]))
         at = at[(self.df[at] > 1) & (self.df[at] <= max(common * self.n, 2))]
         if not len(at):
@@ -157,15 +181,15 @@ class Shard:
             seed = fresh
 
 
-def pack(docs: list[tuple[int, bytes]]):
+def pack(docs: list[tuple[int, bytes]], statistics: Statistics | None = None):
     """Documents (id, ids as bytes, with the end token) -> pieces (id, start, ids, size, sequence, offset)."""
-    shard = Shard([np.frombuffer(d, "<u4") for _, d in docs])
+    shard = Shard([np.frombuffer(d, "<u4") for _, d in docs], statistics)
     total = sum(len(d) for _, d in docs) // 4
-    # whole windows, then powers of two
+    # whole windows, then powers of two from the smallest up, so that a longer document at the end finds the larger room
     left, sequence, offset, room = total, 0, 0, 0
 
     def next_room() -> int:
-        return WINDOW if left >= WINDOW else 1 << (left.bit_length() - 1)
+        return WINDOW if left >= WINDOW else left & -left
 
     room = next_room() if total else 0
     for i in shard.order():
@@ -184,22 +208,196 @@ def pack(docs: list[tuple[int, bytes]]):
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+def tokens_of(ids: bytes, size: int) -> np.ndarray:
+    """Stored ids, of two or four bytes."""
+    return np.frombuffer(ids, f"<u{len(ids) // size}").astype("<u4")
+
+
+def encode_documents(docs: DataFrame, tokenizer_path: str, rows: int = 128) -> DataFrame:
+    """doc_id, tokens with the end token, and their ids; written to the shared folder and read again."""
+    schema = "doc_id bigint, size bigint, ids binary"
+    fields = arrow_schema(schema)
+
+    def run(batches):
+        encoder = PieceEncoder(tokenizer_path)
+        kind = "<u2" if len(encoder.ends) <= 1 << 16 else "<u4"
+        end = np.array([END], kind).tobytes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                keys, texts = batch.slice(at, rows).columns
+                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encoder.encode([t or b"" for t in texts.to_pylist()])]
+                columns = [keys, pa.array([len(i) // len(end) for i in ids]), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, fields)], schema=fields)
+        del encoder
+        give_back()
+
+    path = f"{shared_folder(docs.sparkSession)}/packing-{uuid.uuid4().hex}"
+    found = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, schema)
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def corpus_statistics(encoded: DataFrame) -> Statistics:
+    """Counted by task and summed; term -1 stands for documents, -2 for tokens."""
+    schema = "term bigint, n bigint"
+    fields = arrow_schema(schema)
+
+    def run(batches):
+        df, n, tokens = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            for size, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                terms = np.unique(tokens_of(ids, size))
+                if terms[-1] >= len(df):
+                    df = np.pad(df, (0, 2 * int(terms[-1]) + 1 - len(df)))
+                df[terms] += 1
+                n, tokens = n + 1, tokens + size
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(df[at], [n, tokens]))], schema=fields)
+
+    counts = encoded.select("size", "ids").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n"))
+    found = {r.term: r.n for r in counts.collect()}
+    df = np.zeros(max(found, default=-1) + 1, np.int64)
+    for term, n in found.items():
+        if term >= 0:
+            df[term] = n
+    return Statistics(found.get(-1, 0), found.get(-2, 0), df)
+
+
+class Projector:
+    """Unit vectors of documents: BM25 weights under random signs by term."""
+
+    def __init__(self, statistics: Statistics):
+        self.statistics = statistics
+        self.signs = np.random.default_rng(0).choice(np.array([-1, 1], np.float32), (len(statistics.df), DIMS))
+
+    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(docs), DIMS), np.float32)
+        for i, ids in enumerate(docs):
+            term, tf = np.unique(ids, return_counts=True)
+            out[i] = self.statistics.weights(term, tf, len(ids)).astype(np.float32) @ self.signs[term]
+        return unit(out)
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-9)
+
+
+class Router:
+    """Tree of two-means splits over a sample; ``shards`` has the first shard and the number of shards of each leaf."""
+
+    def __init__(self, x: np.ndarray, tokens: np.ndarray, shard_tokens: float):
+        rng = np.random.default_rng(0)
+        planes, self.children, self.shards = [], [], []
+        full, stack = 0.0, [(np.arange(len(x)), None)]
+        shard = 0
+        while stack:
+            at, place = stack.pop()
+            weight = float(tokens[at].sum())
+            side = self._split(x[at], rng) if weight > LEAF * shard_tokens and len(at) > 1 else None
+            if side is None:
+                here = ~len(self.shards)  # leaves count downwards from -1
+                parts = max(1, round(weight / shard_tokens))
+                if full and (parts > 1 or full + weight > shard_tokens):
+                    shard, full = shard + 1, 0.0
+                self.shards.append((shard, parts))
+                shard, full = (shard + parts, 0.0) if parts > 1 else (shard, full + weight)
+            else:
+                here = len(planes)
+                plane, right = side
+                planes.append(plane)
+                self.children.append([0, 0])
+                stack += [(at[right], (here, 1)), (at[~right], (here, 0))]
+            if place is not None:
+                self.children[place[0]][place[1]] = here
+        self.root = 0 if planes else -1
+        self.planes = np.array(planes, np.float32).reshape(-1, DIMS)
+        self.children, self.shards = np.array(self.children, np.int64).reshape(-1, 2), np.array(self.shards, np.int64)
+
+    @staticmethod
+    def _split(x: np.ndarray, rng):
+        first = x[rng.integers(len(x))]
+        centres = np.array([first, x[(x @ first).argmin()]])
+        for _ in range(8):
+            plane = centres[1] - centres[0]
+            right = x @ plane > 0
+            if right.all() or not right.any():
+                return None
+            centres = unit(np.array([x[~right].sum(0), x[right].sum(0)]))
+        return plane, right
+
+    def route(self, x: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """Shard of each vector; ``salt`` deals documents over the shards of one leaf."""
+        node = np.full(len(x), self.root)
+        while (inner := np.flatnonzero(node >= 0)).size:
+            at = node[inner]
+            right = np.einsum("ij,ij->i", x[inner], self.planes[at]) > 0
+            node[inner] = self.children[at, right.astype(int)]
+        first, parts = self.shards[~node].T
+        return first + salt % parts
+
+
+def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
+    """``encoded`` with the shard of each document."""
+    if statistics.tokens <= shard_tokens:
+        return encoded.withColumn("shard", F.lit(0).cast("bigint"))
+    context = encoded.sparkSession.sparkContext
+    share = min(1.0, min(max(5000, SAMPLE * statistics.tokens // shard_tokens), 200_000) / statistics.n)
+    known = context.broadcast(statistics)
+
+    def project(batches):
+        projector = Projector(known.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                sizes, ids = (c.to_pylist() for c in batch.slice(at, rows).columns)
+                x = projector.vectors([tokens_of(i, n) for i, n in zip(ids, sizes)])
+                yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())], schema=sample_fields)
+
+    sample_fields = arrow_schema("size bigint, x binary")
+    picked = encoded if share == 1.0 else encoded.sample(share, seed=7)
+    sample = picked.select("size", "ids").mapInArrow(project, "size bigint, x binary").collect()
+    x = np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float32).reshape(-1, DIMS)
+    sizes = np.array([r["size"] for r in sample], np.float64)
+    tree = context.broadcast(Router(x, sizes * (statistics.tokens / max(sizes.sum(), 1)), shard_tokens))
+    schema = "doc_id bigint, size bigint, ids binary, shard bigint"
+    fields = arrow_schema(schema)
+
+    def run(batches):
+        projector = Projector(known.value)
+        salt = TaskContext.get().partitionId()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                sizes, ids = part.column(1).to_pylist(), part.column(2).to_pylist()
+                shard = tree.value.route(projector.vectors([tokens_of(i, n) for i, n in zip(ids, sizes)]), salt + np.arange(len(ids)))
+                salt += len(ids)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(shard)], schema=fields)
+        del projector
+        give_back()
+
+    return encoded.select("doc_id", "size", "ids").mapInArrow(run, schema)
+
+
+PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
     """Pieces of all documents; ``with_ids`` adds the token ids of each piece."""
     schema = PIECES + (", ids array<int>" if with_ids else "")
     fields = arrow_schema(schema)
+    encoded = encode_documents(docs, tokenizer_path, rows)
+    statistics = corpus_statistics(encoded)
+    routed = route_documents(encoded, statistics, shard_tokens, rows)
+    known = docs.sparkSession.sparkContext.broadcast(statistics)
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer_path)
-        end = np.array([END], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 32
         shard: list[tuple[int, bytes]] = []
-        tokens = 0
+        current, tokens = None, 0
 
         def flush():
             nonlocal base
             out, last = [], -1
-            for key, start, ids, size, sequence, offset in pack(shard):
+            for key, start, ids, size, sequence, offset in pack(shard, known.value):
                 row = (key, start, len(ids) // 4, zlib.crc32(ids), size, base + sequence, offset)
                 out.append((*row, np.frombuffer(ids, "<i4")) if with_ids else row)
                 last = sequence
@@ -210,18 +408,20 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False,
 
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                ids, texts = batch.slice(at, rows).columns
-                for key, raw in zip(ids.to_pylist(), encoder.encode([t or b"" for t in texts.to_pylist()])):
-                    shard.append((key, raw + end))
-                    tokens += len(raw) // 4 + 1
-                    if tokens >= shard_tokens:
+                for key, size, ids, number in zip(*(c.to_pylist() for c in batch.slice(at, rows).columns)):
+                    # the sizes of shards are estimated from the sample; memory stays bounded where one is far larger
+                    if shard and (number != current or tokens >= 2 * shard_tokens):
                         yield from flush()
                         shard, tokens = [], 0
-        yield from flush()
-        del encoder, shard
+                    current = number
+                    shard.append((key, tokens_of(ids, size).tobytes()))
+                    tokens += size
+        if shard:
+            yield from flush()
+        del shard
         give_back()
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, schema)
+    return routed.select("doc_id", "size", "ids", "shard").repartition("shard").sortWithinPartitions("shard", "doc_id").mapInArrow(run, schema)
 
 
 def word_tokenizer() -> str:
