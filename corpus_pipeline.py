@@ -25,7 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, in any of the learned languages."""
+    """Documents with letters; only ``und`` is rejected, so the network decides nothing here."""
     return keep_known_languages(docs)
 
 

@@ -234,7 +234,11 @@ def identify_language(docs: DataFrame, net: ByteNet | None, rows: int = 64) -> D
 
 
 def keep_known_languages(docs: DataFrame, languages: list[str] | None = None, rows: int = 64) -> DataFrame:
-    """Rows whose text is in one of the learned ``languages`` (default: all of them)."""
+    """Rows whose predicted language is one of ``languages``.
+
+    By default all learned ones count: then only texts without letters are dropped, since every text with
+    letters gets a learned language, also noise and unknown scripts.
+    """
     net = learn(docs)
     wanted = languages
 
