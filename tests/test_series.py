@@ -12,7 +12,7 @@ from wickframe.operators import features as f
 from wickframe.operators import stats as st
 from wickframe.operators import supervised as sv
 from wickframe.operators.blocks import Layout, Running, index_series
-from wickframe.operators.quantiles import exact_quantiles
+from wickframe.operators.quantiles import exact_quantiles, from_order_bits, order_bits
 
 SMALL = Layout(span=100, rows=1024)
 
@@ -162,6 +162,31 @@ def test_quantiles_of_large_groups(spark):
         np.testing.assert_allclose([r[p] for p in probs], [v.quantile(q) for q in probs.values()], rtol=1e-12)
 
 
+def test_order_bits(spark):
+    rng = np.random.default_rng(4)
+    edge = [0.0, -0.0, 5e-324, 1e-310, 2.0**-1022, 1.0, 1 - 2**-53, 2.0, 1.7976931348623157e308, np.inf]
+    powers = [2.0**e for e in range(-1074, 1024, 37)]
+    near = [np.nextafter(p, d) for p in powers for d in (0, np.inf)]
+    x = np.concatenate([edge, powers, near, np.exp(rng.normal(0, 90, 4000)), rng.normal(size=2000)])
+    x = np.concatenate([x, -x])
+    df = spark.createDataFrame(pd.DataFrame({"x": x})).select("x", order_bits(F.col("x")).alias("k"))
+    got = df.select("x", "k", from_order_bits(F.col("k")).alias("y")).toPandas()
+    assert (got["x"] == got["y"]).all()
+    bits = got["x"].abs().to_numpy().view("i8")
+    assert (got["k"].abs() == bits).all() and ((got["k"] < 0) == (got["x"] < 0)).all()
+    odd = spark.sql("select double('NaN') as x union all select null").select(order_bits(F.col("x")).alias("k")).collect()
+    assert {r.k for r in odd} == {None, 2047 * 2**52 + 1}
+
+
+def test_quantiles_read_little(spark):
+    df = spark.createDataFrame(pd.DataFrame({"k": [1, 1, 2], "x": [1.0, 2.0, -3.5]}))
+    got = exact_quantiles(df, ["k"], "x", {"a": 0.5, "b": 0.9})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # the values and the bins of the round before
+    assert plan.count("Exchange hashpartitioning") <= 3
+    assert {(r.k, r.n, r.a, round(r.b, 9)) for r in got.collect()} == {(1, 2, 1.5, 1.9), (2, 1, -3.5, -3.5)}
+
+
 def test_quantiles_by_series_size(spark):
     pdf = pd.concat([candle_rows(12_000, "L", "1m", seed=5), candle_rows(50, "S", "1m", seed=6)])
     df = spark.createDataFrame(pdf)

@@ -111,10 +111,10 @@ def cumulative_return(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
 
 def seasonality_dow(df: DataFrame) -> DataFrame:
     """Mean and quartiles of the return per weekday (Monday = 0)."""
-    r = df.filter(F.col("return_pct").isNotNull()).select(*KEYS, F.weekday(TIME).cast("bigint").alias("day_of_week"), "return_pct")
+    r = written(df.filter(F.col("return_pct").isNotNull()).select(*KEYS, F.weekday(TIME).cast("bigint").alias("day_of_week"), "return_pct"))
     group = [*KEYS, "day_of_week"]
     mean = r.groupBy(*group).agg(F.avg("return_pct").alias("mean_return"))
-    return mean.join(exact_quantiles(r, group, "return_pct", {"q1": 0.25, "median": 0.5, "q3": 0.75}), group)
+    return mean.join(exact_quantiles(r, group, "return_pct", {"q1": 0.25, "median": 0.5, "q3": 0.75}, stored=True), group)
 
 
 def _pivot(df: DataFrame, row, column, values: list[int], prefix: str) -> DataFrame:
@@ -264,7 +264,7 @@ def mutual_information(df: DataFrame, features: list[str], bins: int = 10) -> Da
     rows = written(df.select(*KEYS, TIME, *features, F.col("log_return").alias("_now"), F.col("future_return").alias("_next")).dropna())
     long = unpivot(rows, [*features, "_now", "_next"])
     probs = {f"q{k}": k / bins for k in range(1, bins)}
-    edges = exact_quantiles(long, [*KEYS, "feature"], "value", probs)
+    edges = exact_quantiles(long, [*KEYS, "feature"], "value", probs, stored=True)
     edges = edges.select(*KEYS, "feature", F.array(*probs).alias("edges"))
     per_series = edges.groupBy(*KEYS).agg(F.map_from_entries(F.collect_list(F.struct("feature", "edges"))).alias("_e"))
 

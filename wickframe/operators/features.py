@@ -286,12 +286,12 @@ def drawdown(df: DataFrame, layout: Layout = DEFAULT, eps: float = 0.0) -> DataF
 
 
 def atr_thresholds(measured: DataFrame) -> DataFrame:
-    """33 % and 66 % quantile of the Wilder ATR (column ``atr_14``) per series."""
-    return exact_quantiles(measured, SERIES, "atr_14", {"_q33": 0.33, "_q66": 0.66}).drop("n")
+    """33 % and 66 % quantile of the Wilder ATR (column ``atr_14``) per series of a stored table."""
+    return exact_quantiles(measured, SERIES, "atr_14", {"_q33": 0.33, "_q66": 0.66}, stored=True).drop("n")
 
 
 def with_regime(measured: DataFrame) -> DataFrame:
-    """Low/Mid/High for a frame with ``atr_14``. It is read twice more for the thresholds, so it should be materialised."""
+    """Low/Mid/High for a stored table with ``atr_14``; the thresholds read that column three times more."""
     atr = F.col("atr_14")
     label = F.when(atr >= F.col("_q66"), "High").when(atr <= F.col("_q33"), "Low").otherwise("Mid")
     labelled = measured.join(atr_thresholds(measured), list(SERIES), "left").withColumn("vol_regime", label)

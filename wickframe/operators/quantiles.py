@@ -1,14 +1,54 @@
-"""Exact quantiles per group, also for groups that do not fit into one task."""
+"""Exact quantiles per group, also for groups that do not fit into one task.
+
+A radix histogram over the order-preserving bits of the double. Three rounds count values by the first 22, 43 and all 64
+bits; after each the bins that hold a wanted rank are known, and the next round counts only values inside them. So the result is
+exact for any distribution, all groups and ranks share one exchange of partial counts a round, no value but the wanted ones is
+ranked or moved, and the work of a task is bounded by the bins of one group: 2^22 in the first round and 2^21 in
+each bin of the later ones, whatever the number of rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000  # rank error of the sketch is n / ACCURACY
-MARGIN = 5.0 / ACCURACY
-RANKS = 5.0  # ranks that the margin covers at least; where it covers fewer, the bracket is the whole range
-BINS = 4_096
+from wickframe.plans.lineage import written
+
+SHIFTS = (42, 21, 0)  # bits that a round leaves out
+MANTISSA = 1 << 52
+LEAST_NORMAL = 2.0**-1022
+LEAST = 2.0**-1074
+
+
+def order_bits(v: Column) -> Column:
+    """A long that orders like the double: the bits of its magnitude, negated below zero. Null stays null, NaN comes last."""
+    a = F.abs(v)
+    two = F.lit(2.0)
+    guess = F.greatest(F.floor(F.log2(a)), F.lit(-1022))
+    ratio = a / F.pow(two, guess.cast("double"))
+    # the logarithm may be off by one next to a power of two
+    e = guess + F.when(ratio >= 2, 1).when(ratio < 1, -1).otherwise(0)
+    mantissa = ((a / F.pow(two, e.cast("double")) - 1) * float(MANTISSA)).cast("bigint")
+    magnitude = (
+        F.when(F.isnan(v), F.lit(2047 * MANTISSA + 1))
+        .when(a == float("inf"), F.lit(2047 * MANTISSA))
+        .when(a < LEAST_NORMAL, (a / LEAST).cast("bigint"))
+        .otherwise((e + 1023) * F.lit(MANTISSA) + mantissa)
+    )
+    return F.when((v < 0) & ~F.isnan(v), -magnitude).otherwise(F.when(v.isNotNull(), magnitude))
+
+
+def from_order_bits(k: Column) -> Column:
+    """The double that ``order_bits`` maps to ``k``."""
+    m = F.abs(k)
+    e, fraction = F.shiftright(m, 52), m.bitwiseAND(F.lit(MANTISSA - 1)).cast("double")
+    a = (
+        F.when(m > 2047 * MANTISSA, F.lit(float("nan")))
+        .when(e == 2047, F.lit(float("inf")))
+        .when(e == 0, fraction * LEAST)
+        .otherwise((fraction / float(MANTISSA) + 1) * F.pow(F.lit(2.0), (e - 1023).cast("double")))
+    )
+    return F.when(k < 0, -a).otherwise(a)
 
 
 def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -18,73 +58,53 @@ def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.alias("a").join(b.alias("b"), on).select("a.*", *rest)
 
 
-def exact_quantiles(df: DataFrame, keys, value: str | Column, probs: dict[str, float]) -> DataFrame:
+def _holding_ranks(bins: DataFrame, within: list[str], ranks: Column) -> DataFrame:
+    """Bins (``_bin``, ``_c`` values) that hold a wanted rank, with those ranks counted from the start of the bin."""
+    order = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = bins.withColumn("_end", F.sum("_c").over(order)).withColumn("_start", F.col("_end") - F.col("_c"))
+    here = F.transform(
+        F.filter(ranks, lambda r: (r["rank"] >= F.col("_start")) & (r["rank"] < F.col("_end"))),
+        lambda r: F.struct(r["of"].alias("of"), (r["rank"] - F.col("_start")).alias("rank")),
+    )
+    return placed.withColumn("_ranks", here).filter(F.size("_ranks") > 0).drop("_end", "_start", "_c")
+
+
+def exact_quantiles(df: DataFrame, keys, value: str | Column, probs: dict[str, float], stored: bool = False) -> DataFrame:
     """One row per group: row count ``n`` and the linearly interpolated quantiles named in ``probs``.
 
-    A mergeable sketch brackets every wanted rank; only the values inside the bracket are counted, cut
-    into bins, and ranked within the bins that hold the rank. The result is exact; a rank outside
-    its bracket stops the job. ``df`` is evaluated twice, for the sketch and for the counts, so cut
-    the lineage of a costly one first.
+    Null values do not count; groups without a value have no row. The values are written to the shared folder first and read
+    three times from there; ``stored`` says that ``df`` is a stored table itself, which is then read instead. The first two
+    rounds run when the function is called, so the planner knows the size of what the next one joins.
     """
     keys = list(keys)
-    names, ps = list(probs), [float(p) for p in probs.values()]
-    v = F.col(value) if isinstance(value, str) else value
-    x = df.select(*keys, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    edges = [e for p in ps for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    sketch = x.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, ACCURACY).alias("_b"),
-    )
-    wide = F.col("n") * MARGIN < RANKS
-    brackets = []
+    ps = [float(p) for p in probs.values()]
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    source = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull()).select(*keys, order_bits(F.col("_v")).alias("_k"))
+    x = source if stored else written(source)
+
+    def counts(rows: DataFrame, shift: int, by: list[str], carried: list[str]) -> DataFrame:
+        bin_ = F.shiftright("_k", shift) if shift else F.col("_k")
+        return rows.groupBy(*by, bin_.alias("_bin")).agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in carried])
+
+    last = F.col("n") - 1
+    wanted = []
     for i, p in enumerate(ps):
-        lo = F.col("_min") if edges[2 * i] <= 0 else F.when(wide, F.col("_min")).otherwise(F.col("_b")[2 * i])
-        hi = F.col("_max") if edges[2 * i + 1] >= 1 else F.when(wide, F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
-        brackets.append(F.struct(F.lit(i).alias("_i"), F.lit(p).alias("p"), lo.alias("lo"), hi.alias("hi")))
-    packed = sketch.select(*keys, "n", F.array(*brackets).alias("_bs"))
-    # values inside a bracket keep their value; values below it are only counted
-    inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
-    place = F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
-    bin_ = F.when(F.col("_v") < F.col("lo"), F.lit(-1)).when(F.col("hi") > F.col("lo"), place).otherwise(F.lit(0))
-    group = [*keys, "_i"]
-    counted = (
-        _join(x, packed, keys)
-        .select(*keys, "n", "_v", F.inline("_bs"))
-        .filter(F.col("_v") <= F.col("hi"))
-        .groupBy(*group, bin_.alias("_bin"), inside.alias("_in"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("n").alias("n"), F.first("p").alias("p"))
-    )
-    bins = counted.groupBy(*group, "_bin").agg(F.sum("_n").alias("_m"), F.first("n").alias("n"), F.first("p").alias("p"))
-    before = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.col("p") * (F.col("n") - 1)
-    bins = (
-        bins.withColumn("_base", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-        .filter((F.col("_base") <= F.floor(rank) + 1) & (F.col("_base") + F.col("_m") > F.floor(rank)))
-        .select(*group, "_bin", "_base")
-    )
-    upto = Window.partitionBy(*group, "_bin").orderBy("_in").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        _join(counted, bins, [*group, "_bin"])
-        .withColumn("_end", F.col("_base") + F.sum("_n").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-    k = F.floor(rank)
-    hit_k = (F.col("_start") <= k) & (k < F.col("_end"))
-    k1 = F.least(k + 1, F.col("n") - 1)
-    hit_k1 = (F.col("_start") <= k1) & (k1 < F.col("_end"))
-    at = ranked.groupBy(*group).agg(
-        F.first("n").alias("n"),
-        F.max(F.when(hit_k, F.col("_in"))).alias("_x0"),
-        F.max(F.when(hit_k1, F.col("_in"))).alias("_x1"),
-        F.max(rank - k).alias("_f"),
-    )
-    q = F.when(
-        F.col("_x0").isNotNull() & F.col("_x1").isNotNull(), F.col("_x0") + (F.col("_x1") - F.col("_x0")) * F.col("_f")
-    ).otherwise(F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-    return (
-        at.select(*keys, "n", "_i", q.alias("_q"))
-        .groupBy(*keys)
-        .agg(F.first("n").alias("n"), *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(c) for i, c in enumerate(names)])
+        low = F.floor(F.lit(p) * last)
+        wanted += [(2 * i, low), (2 * i + 1, F.least(low + 1, last))]
+    ranks = F.array(*[F.struct(F.lit(of).alias("of"), r.cast("bigint").alias("rank")) for of, r in wanted])
+    total = F.sum("_c").over(Window.partitionBy(*keys))
+    found = written(_holding_ranks(counts(x, SHIFTS[0], keys, []).withColumn("n", total), keys, ranks))
+    for before, shift in zip(SHIFTS, SHIFTS[1:]):
+        inside = x.withColumn("_in", F.shiftright("_k", before))
+        rows = _join(inside, found.withColumnsRenamed({"_bin": "_in", "_ranks": "_wanted"}), [*keys, "_in"])
+        bins = counts(rows, shift, [*keys, "_in"], ["n", "_wanted"])
+        found = _holding_ranks(bins, [*keys, "_in"], F.col("_wanted")).drop("_in", "_wanted")
+        if shift:
+            found = written(found)
+    at = found.select(*keys, "n", from_order_bits(F.col("_bin")).alias("_x"), F.explode("_ranks.of").alias("_of"))
+    ends = at.groupBy(*keys).agg(
+        F.first("n").alias("n"), *[F.max(F.when(F.col("_of") == of, F.col("_x"))).alias(f"_x{of}") for of, _ in wanted]
     )
+    fraction = [F.lit(p) * last - F.floor(F.lit(p) * last) for p in ps]
+    between = [F.col(f"_x{2 * i}") + (F.col(f"_x{2 * i + 1}") - F.col(f"_x{2 * i}")) * f for i, f in enumerate(fraction)]
+    return ends.select(*keys, "n", *[q.alias(c) for c, q in zip(probs, between)])

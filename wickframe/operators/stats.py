@@ -17,6 +17,7 @@ from wickframe.functions.special import chi2_tail_even, normal_cdf, sample_kurto
 from wickframe.operators.blocks import DEFAULT, Layout, Running, drop_index, index_series, row_blocks, top_per_series
 from wickframe.operators.quantiles import exact_quantiles
 from wickframe.plans.lineage import cut
+from wickframe.plans.lineage import written
 from wickframe.schema import SERIES, TIME
 
 KEYS = list(SERIES)
@@ -45,15 +46,11 @@ def return_stats(df: DataFrame, column: str = "log_return") -> DataFrame:
 
 
 def value_at_risk(df: DataFrame, column: str = "log_return", level: float = 0.05) -> DataFrame:
-    """Linear quantile of the returns and the mean of the returns at or below it."""
-    var = exact_quantiles(df, KEYS, column, {"var": level}).drop("n")
-    tail = (
-        df.filter(F.col(column).isNotNull())
-        .join(var, KEYS)
-        .groupBy(*KEYS)
-        .agg(F.first("var").alias("var"), F.avg(F.when(F.col(column) <= F.col("var"), F.col(column))).alias("cvar"))
-    )
-    return tail
+    """Linear quantile of the returns and the mean of the returns at or below it. The returns are written once."""
+    x = written(df.select(*KEYS, F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull()))
+    var = exact_quantiles(x, KEYS, "x", {"var": level}, stored=True).drop("n")
+    below = F.avg(F.when(F.col("x") <= F.col("var"), F.col("x"))).alias("cvar")
+    return x.join(var, KEYS).groupBy(*KEYS).agg(F.first("var").alias("var"), below)
 
 
 def max_drawdown(df: DataFrame) -> DataFrame:
