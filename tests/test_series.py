@@ -13,6 +13,7 @@ from wickframe.operators import stats as st
 from wickframe.operators import supervised as sv
 from wickframe.operators.blocks import Layout, Running, index_series
 from wickframe.operators.quantiles import exact_quantiles, from_order_bits, order_bits
+from wickframe.operators.scans import Ewm
 
 SMALL = Layout(span=100, rows=1024)
 
@@ -104,11 +105,14 @@ def test_quiet_run_keeps_its_ratio(spark):
     assert got["rsi_14"].isna().sum() < 20
 
 
-def test_weighted_mean_of_nulls_fails(spark):
+def test_weighted_mean_passes_over_nulls(spark):
+    """A null close was refused before; now the mean goes on as in pandas."""
     g = candle_rows(60, "N", "1d", seed=2)
     g.loc[20, "close"] = None
-    with pytest.raises(Exception, match="a value is null"):
-        f.ema(spark.createDataFrame(g).withColumn("close", F.nanvl("close", F.lit(None)))).collect()
+    got = f.ema(spark.createDataFrame(g)).toPandas().sort_values("open_time")
+    for span in (12, 26):
+        np.testing.assert_allclose(got[f"ema_{span}"], g["close"].ewm(span=span, adjust=False).mean(), rtol=1e-12)
+
 
 
 def test_series_together_equal_series_alone(candles):
@@ -178,6 +182,18 @@ def test_order_bits(spark):
     assert {r.k for r in odd} == {None, 2047 * 2**52 + 1}
 
 
+def test_quantiles_in_three_rounds(spark, monkeypatch):
+    from wickframe.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BIN_VALUES", 10)
+    rng = np.random.default_rng(7)
+    x = np.concatenate([1 + rng.random(5000) * 1e-9, rng.normal(size=3000)])
+    df = spark.createDataFrame(pd.DataFrame({"k": np.arange(8000) % 2, "x": x}))
+    probs = {"a": 0.1, "b": 0.5, "c": 0.77}
+    for r in exact_quantiles(df, ["k"], "x", probs).collect():
+        np.testing.assert_allclose([r.a, r.b, r.c], np.quantile(x[r.k :: 2], list(probs.values())), rtol=1e-15)
+
+
 def test_quantiles_read_little(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": [1, 1, 2], "x": [1.0, 2.0, -3.5]}))
     got = exact_quantiles(df, ["k"], "x", {"a": 0.5, "b": 0.9})
@@ -195,6 +211,40 @@ def test_quantiles_by_series_size(spark):
         assert r["m"] == pytest.approx(pdf[pdf["symbol"] == r["symbol"]]["close"].quantile(0.33), rel=1e-12)
 
 
+@pytest.mark.parametrize("span", [1, 1.5, 3, 14, 200])
+def test_weighted_means_with_nulls(spark, span):
+    """As pandas: a null keeps the mean and lets it decay; blocks, long gaps and empty blocks included."""
+    rng = np.random.default_rng(int(span * 10))
+    frames = []
+    for symbol, n, share in (("A", 4000, 0.3), ("B", 3000, 0.95), ("C", 700, 0.0), ("D", 2500, 1.0), ("E", 5, 0.4)):
+        pdf = candle_rows(n, symbol, "1m", seed=3)
+        hidden = rng.random(n) < share
+        hidden[: n // 5] |= symbol == "B"
+        if symbol == "A":
+            hidden[500:2200] = True
+        pdf["x"] = pdf["close"].mask(hidden)
+        frames.append(pdf)
+    pdf = pd.concat(frames)
+    df = spark.createDataFrame(pdf.assign(x=pdf["x"].astype(object).where(pdf["x"].notna(), None)), "symbol string, timeframe string, open_time timestamp, open double, high double, low double, close double, volume double, x double")
+    spec = f.Indicator(("y", "z"), {2: {"y": Ewm.span("x", span)}, 3: {"d": F.col("y") - 1}, 4: {"z": Ewm.span("d", 5)}})
+    got = f.with_indicators(df, [spec], SMALL).toPandas().sort_values("open_time")
+    for symbol, part in pdf.groupby("symbol"):
+        g = got[got["symbol"] == symbol].reset_index(drop=True)
+        y = part["x"].reset_index(drop=True).ewm(span=span, adjust=False).mean()
+        z = (y - 1).ewm(span=5, adjust=False).mean()
+        np.testing.assert_allclose(g["y"], y, rtol=1e-11)
+        np.testing.assert_allclose(g["z"], z, rtol=1e-11)
+
+
+def test_weighted_means_stay_in_their_series(spark):
+    pdf = pd.concat([candle_rows(30, "A").assign(x=np.inf), candle_rows(30, "B").assign(x=2.0)])
+    got = f.with_indicators(spark.createDataFrame(pdf), [f.Indicator(("y",), {1: {"y": Ewm.span("x", 3)}})]).toPandas()
+    assert (got[got["symbol"] == "B"]["y"] == 2.0).all()
+    for alpha in (0.0, -1.0, 1.1):
+        with pytest.raises(ValueError):
+            Ewm("x", alpha)
+
+
 def test_long_span_mean(spark):
     pdf = candle_rows(4000, "A", "1m", seed=8)
     got = f.ema(spark.createDataFrame(pdf), SMALL, spans=(2, 200)).toPandas().sort_values("open_time")

@@ -17,6 +17,7 @@ from wickframe.operators.blocks import (
     DEFAULT,
     Layout,
     Running,
+    block_rows,
     drop_index,
     index_series,
     over_block,
@@ -24,7 +25,7 @@ from wickframe.operators.blocks import (
     row_blocks,
 )
 from wickframe.operators.quantiles import exact_quantiles
-from wickframe.operators.scans import Ewm, Roll, with_scans
+from wickframe.operators.scans import Ewm, Roll, arranged, block_carry, with_scans
 from wickframe.plans.lineage import written
 from wickframe.schema import DEFAULT_PERIODS, OHLCV, PERIODS_PER_YEAR, SERIES, TIME, lookup, require
 
@@ -54,22 +55,41 @@ def with_indicators(
     """Compute several indicators in one pass and return the input columns plus their outputs.
 
     ``attributes`` and ``only`` are handed to ``index_series``; ``keep`` names further columns of
-    the pass to return.
+    the pass to return. Weighted means need what the block before hands over; that one row per block of a long
+    series is computed and written when the function is called, so the planner sees how small it is.
     """
     levels: dict[int, dict] = {}
     for i in indicators:
         for n, cols in i.levels.items():
             levels.setdefault(n, {}).update(cols)
-    halo = max([i.halo for i in indicators] + [c.halo + 1 for lv in levels.values() for c in lv.values() if isinstance(c, (Ewm, Roll))])
+    halo = max([i.halo for i in indicators] + [c.halo + 1 for lv in levels.values() for c in lv.values() if isinstance(c, Roll)])
     running = {k: v for i in indicators for k, v in i.running.items()}
     base = [c for c in df.columns if c not in ("_rn", "_total")]
-    indexed = index_series(df, running, layout=layout, attributes=attributes, only=only)
-    out = row_blocks(indexed, halo, layout, ahead)
+    scans = any(isinstance(c, (Ewm, Roll)) for lv in levels.values() for c in lv.values())
+
+    def indexed(condition: Column | None) -> DataFrame:
+        return index_series(df, running, layout=layout, attributes=attributes, only=condition)
+
+    def computed(rows: DataFrame, carry: DataFrame | None, upto: float = math.inf) -> DataFrame:
+        """All levels below ``upto`` and the plain columns of that level."""
+        out = row_blocks(rows, halo, layout, ahead)
+        out = arranged(out, SERIES, carry) if scans else out
+        for n in sorted(lv for lv in levels if lv <= upto):
+            plain = {k: c for k, c in levels[n].items() if not isinstance(c, (Ewm, Roll))}
+            out = out.withColumns(plain) if plain else out
+            if n < upto:
+                out = with_scans(out, {k: c for k, c in levels[n].items() if isinstance(c, (Ewm, Roll))})
+        return out
+
+    carry = None
+    several = F.col("_total") > block_rows(max(halo, ahead), layout)
     for n in sorted(levels):
-        plain = {k: c for k, c in levels[n].items() if not isinstance(c, (Ewm, Roll))}
-        if plain:
-            out = out.withColumns(plain)
-        out = with_scans(out, {k: c for k, c in levels[n].items() if isinstance(c, (Ewm, Roll))})
+        means = {k: c for k, c in levels[n].items() if isinstance(c, Ewm)}
+        if means:  # only series of several blocks hand anything over
+            long = computed(indexed(several if only is None else only & several), carry, n)
+            found = written(block_carry(long, means))
+            carry = found if carry is None else carry.join(found, [*SERIES, "_blk"])
+    out = computed(indexed(only), carry)
     outputs = list(dict.fromkeys(o for i in indicators for o in i.outputs if o not in base))
     return own(out.select(*base, *outputs, *keep, "_own", "_blk", "_sub"))
 

@@ -4,17 +4,22 @@ A radix histogram over the order-preserving bits of the double. Three rounds cou
 bits; after each the bins that hold a wanted rank are known, and the next round counts only values inside them. So the result is
 exact for any distribution, all groups and ranks share one exchange of partial counts a round, no value but the wanted ones is
 ranked or moved, and the work of a task is bounded by the bins of one group: 2^22 in the first round and 2^21 in
-each bin of the later ones, whatever the number of rows.
+each bin of the later ones, whatever the number of rows. Where no wanted bin of the first round holds more than 2^21 values, its values
+are within that bound themselves, and the second round counts by all bits.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickframe.plans.lineage import written
 
 SHIFTS = (42, 21, 0)  # bits that a round leaves out
+BIN_VALUES = 1 << 21
 MANTISSA = 1 << 52
 LEAST_NORMAL = 2.0**-1022
 LEAST = 2.0**-1074
@@ -58,23 +63,32 @@ def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.alias("a").join(b.alias("b"), on).select("a.*", *rest)
 
 
-def _holding_ranks(bins: DataFrame, within: list[str], ranks: Column) -> DataFrame:
-    """Bins (``_bin``, ``_c`` values) that hold a wanted rank, with those ranks counted from the start of the bin."""
+def _holding_ranks(bins: DataFrame, within: list[str], ranks: Column, each: list[Column] | None = None) -> DataFrame:
+    """Bins (``_bin``, ``_c`` values) that hold a wanted rank, with those ranks counted from the start of the bin.
+
+    ``each`` are the members of ``ranks`` where they are the same in all bins; they sort most bins out cheaply.
+    """
     order = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = bins.withColumn("_end", F.sum("_c").over(order)).withColumn("_start", F.col("_end") - F.col("_c"))
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_start")) & (rank < F.col("_end"))
+
+    if each:
+        placed = placed.filter(reduce(or_, map(holds, each)))
     here = F.transform(
-        F.filter(ranks, lambda r: (r["rank"] >= F.col("_start")) & (r["rank"] < F.col("_end"))),
+        F.filter(ranks, lambda r: holds(r["rank"])),
         lambda r: F.struct(r["of"].alias("of"), (r["rank"] - F.col("_start")).alias("rank")),
     )
-    return placed.withColumn("_ranks", here).filter(F.size("_ranks") > 0).drop("_end", "_start", "_c")
+    return placed.withColumn("_ranks", here).filter(F.size("_ranks") > 0).drop("_end", "_start")
 
 
 def exact_quantiles(df: DataFrame, keys, value: str | Column, probs: dict[str, float], stored: bool = False) -> DataFrame:
     """One row per group: row count ``n`` and the linearly interpolated quantiles named in ``probs``.
 
     Null values do not count; groups without a value have no row. The values are written to the shared folder first and read
-    three times from there; ``stored`` says that ``df`` is a stored table itself, which is then read instead. The first two
-    rounds run when the function is called, so the planner knows the size of what the next one joins.
+    two or three times from there; ``stored`` says that ``df`` is a stored table itself, which is then read instead. All rounds
+    but the last run when the function is called, so the planner knows the size of what the next one joins.
     """
     keys = list(keys)
     ps = [float(p) for p in probs.values()]
@@ -93,10 +107,12 @@ def exact_quantiles(df: DataFrame, keys, value: str | Column, probs: dict[str, f
         wanted += [(2 * i, low), (2 * i + 1, F.least(low + 1, last))]
     ranks = F.array(*[F.struct(F.lit(of).alias("of"), r.cast("bigint").alias("rank")) for of, r in wanted])
     total = F.sum("_c").over(Window.partitionBy(*keys))
-    found = written(_holding_ranks(counts(x, SHIFTS[0], keys, []).withColumn("n", total), keys, ranks))
-    for before, shift in zip(SHIFTS, SHIFTS[1:]):
+    found = written(_holding_ranks(counts(x, SHIFTS[0], keys, []).withColumn("n", total), keys, ranks, [r for _, r in wanted]))
+    fullest = found.agg(F.max("_c")).first()[0] or 0
+    shifts = SHIFTS if fullest > BIN_VALUES else (SHIFTS[0], SHIFTS[-1])
+    for before, shift in zip(shifts, shifts[1:]):
         inside = x.withColumn("_in", F.shiftright("_k", before))
-        rows = _join(inside, found.withColumnsRenamed({"_bin": "_in", "_ranks": "_wanted"}), [*keys, "_in"])
+        rows = _join(inside, found.drop("_c").withColumnsRenamed({"_bin": "_in", "_ranks": "_wanted"}), [*keys, "_in"])
         bins = counts(rows, shift, [*keys, "_in"], ["n", "_wanted"])
         found = _holding_ranks(bins, [*keys, "_in"], F.col("_wanted")).drop("_in", "_wanted")
         if shift:
