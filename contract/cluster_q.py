@@ -14,22 +14,17 @@ def scaled(spark, sf):
     return c.scale_features(f.with_indicators(bars_1h(spark, sf), f.train_indicators()))
 
 
-def _sweep(spark, sf):
-    _, rows = c.kmeans_sweep(scaled(spark, sf), (2, 5))
-    return spark.createDataFrame([(r["k"], float(r["inertia"]), float(r["silhouette"])) for r in rows], "k long, inertia double, silhouette double")
-
-
 def _sample(spark, sf):
     return c.systematic_sample(bars_1h(spark, sf).select(*SERIES, TIME, "close"))
 
 
 QUERIES = {
     "scale_features": lambda x, d: out(scaled(x, d), 5),
-    "kmeans_sweep": lambda x, d: out(_sweep(x, d)),
-    "kmeans_labels": lambda x, d: out(c.kmeans_labels(scaled(x, d), 4).select(*SERIES, TIME, "cluster")),
-    "cluster_profile": lambda x, d: out(c.cluster_profile(c.kmeans_labels(scaled(x, d), 4))),
+    "kmeans_sweep": lambda x, d: out(c.kmeans_sweep(scaled(x, d)), 5),
+    "kmeans_labels": lambda x, d: out(c.kmeans_labels(scaled(x, d)).select(*SERIES, TIME, "cluster")),
+    "cluster_profile": lambda x, d: out(c.cluster_profile(c.kmeans_labels(scaled(x, d)))),
     "hierarchical_clusters": lambda x, d: out(c.hierarchical_clusters(scaled(x, d), 4).select(*SERIES, TIME, "cluster")),
-    "pca_2d": lambda x, d: out(c.pca_2d(scaled(x, d))[0]),
+    "pca_2d": lambda x, d: out(c.pca_2d(scaled(x, d)), 5),
     "systematic_sample": lambda x, d: out(_sample(x, d)),
     "knn_distance": lambda x, d: out(c.knn_distance(scaled(x, d)), 5),
     "elbow_eps": lambda x, d: out(c.elbow_eps(c.knn_distance(scaled(x, d)))),

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.common import BARS_1D, BARS_1H, S, W, frame, out, rolled, rsql
-from contract.features_q import BASE, features_cte
+from contract.common import BARS_1D, BARS_1H, BARS_SUPP, S, W, frame, out, rolled, rsql
+from contract.features_q import BASE, CYC, features_cte
 from wickframe.operators import eda as e
 from wickframe.operators import features as f
 from wickframe.operators.supervised import future_return
 from wickframe.schema import OHLCV, SERIES, TIME
-from wickframe.sources.adapters import bars_1d, bars_1h
+from wickframe.sources.adapters import bars_1d, bars_1h, bars_supp
 
 KEY = [*SERIES, TIME]
 K2, K = "symbol, timeframe", "symbol, timeframe, open_time"
-MI = ["bb_pct", "price_zscore", "volume_ratio", "hour_sin"]
-CORR = ["return_pct", "macd_hist", "rsi_14", "bb_width", "bb_pct", "atr_14", "volume_ratio", "price_zscore"]
+CYCLIC = [c for c in CYC if not c.startswith("dom")]
+MI = [*e.ANALYTICAL, *CYCLIC]
+CORR = list(e.ANALYTICAL)
+STABLE = list(e.STABILITY)
 A, B = "click", "purchase"
 
 
@@ -28,7 +30,7 @@ def rets(spark, sf):
 
 
 def _mi(spark, sf):
-    b = f.with_indicators(bars_1h(spark, sf), [f.returns_def(), f.bollinger_def(), f.price_zscore_def(), f.volume_def()])
+    b = f.with_indicators(bars_1h(spark, sf), f.train_indicators())
     return e.mutual_information(f.encode_cyclical(f.calendar_parts(future_return(b))), MI)
 
 
@@ -45,16 +47,16 @@ QUERIES = {
     "seasonality_year_month": lambda x, d: out(e.seasonality_year_month(rets(x, d))),
     "anomaly_zscore": lambda x, d: out(e.anomaly_zscore(feats(x, d, f.price_zscore_def())).select(*KEY, "close", "price_zscore", "side")),
     "anomaly_counts": lambda x, d: out(e.anomaly_counts(feats(x, d, f.price_zscore_def(), f.volume_def()))),
-    "anomaly_volume_spike": lambda x, d: out(e.anomaly_volume_spike(feats(x, d, f.volume_def()), 1.8).select(*KEY, "volume", "volume_ratio")),
+    "anomaly_volume_spike": lambda x, d: out(e.anomaly_volume_spike(f.with_indicators(bars_supp(x, d), [f.volume_def()])).select(*KEY, "volume", "volume_ratio")),
     "regime_share": lambda x, d: out(e.regime_share(f.trend_regime(bars_1h(x, d)))),
     "vol_regime_share": lambda x, d: out(e.regime_share(f.vol_regime(bars_1h(x, d)), "vol_regime")),
     "symbol_correlation": lambda x, d: out(e.symbol_correlation(f.returns(bars_1h(x, d)), A, B)),
     "mean_correlation": lambda x, d: out(e.mean_correlation(e.symbol_correlation(f.returns(bars_1h(x, d)), A, B))),
     "beta_regression": lambda x, d: out(e.beta_regression(f.returns(bars_1h(x, d)), A, B, p_value=False)),
     "beta_p_value": lambda x, d: out(e.beta_regression(f.returns(bars_1h(x, d)), A, B)),
-    "correlation_matrix": lambda x, d: out(e.correlation_matrix(feats(x, d), CORR)),
+    "correlation_matrix": lambda x, d: out(e.correlation_matrix(feats(x, d))),
     "mutual_information": lambda x, d: out(_mi(x, d)),
-    "feature_stability": lambda x, d: out(e.feature_stability(feats(x, d, f.bollinger_def(), f.volume_def()), ["bb_pct", "volume_ratio"])),
+    "feature_stability": lambda x, d: out(e.feature_stability(feats(x, d))),
     "vif": lambda x, d: out(e.vif(feats(x, d))),
 }
 
@@ -69,9 +71,8 @@ PAIRS = ", ".join(f"('{a}', '{b}')" for a in CORR for b in CORR)
 case = lambda tag: "case " + tag + " " + " ".join(f"when '{c}' then {c}" for c in CORR) + " end"
 EDGES = "[" + ", ".join(f"{k / 10!r}::double" for k in range(1, 10)) + "]"
 BINS = ", ".join(f"len(list_filter(q_{c}, lambda z: z < {c})) as b_{c}" for c in [*MI, "lr", "nx"])
-MI_SQL = f"""{FT}, x as (select *, log_return as lr, lead(log_return) over {W} as nx, sin(2 * pi() * hour / 24.0::double) as hour_sin from features),
- m as (select symbol, timeframe, bb_pct, price_zscore, volume_ratio, hour_sin, lr, nx from x
-       where bb_pct is not null and price_zscore is not null and volume_ratio is not null and lr is not null and nx is not null),
+MI_SQL = f"""{FT}, x as (select *, log_return as lr, lead(log_return) over {W} as nx, {', '.join(f'{CYC[c]} as {c}' for c in CYCLIC)} from features),
+ m as (select symbol, timeframe, {', '.join(MI)}, lr, nx from x where {' and '.join(f'{c} is not null' for c in [*MI, 'nx'])}),
  q as (select symbol, timeframe, {', '.join(f'quantile_cont({c}, {EDGES}) as q_{c}' for c in [*MI, 'lr', 'nx'])} from m group by 1, 2),
  b as (select m.symbol, m.timeframe, {BINS} from m join q using (symbol, timeframe)),
  u as (select symbol, timeframe, unnest({MI!r}) as feature, unnest([{', '.join(f'b_{c}' for c in MI)}]) as fb, b_lr as now, b_nx as nxt from b),
@@ -110,7 +111,7 @@ SQL = {
     + " from r where ret is not null group by 1, 2, 3",
     "anomaly_zscore": f"{FT} select {K}, {rsql(['close', 'price_zscore'])}, case when price_zscore > 0 then 'high' else 'low' end as side from features where abs(price_zscore) > 3",
     "anomaly_counts": f"{FT} select {K2}, count(*) filter (price_zscore > 3) as z_high, count(*) filter (price_zscore < -3) as z_low, count(*) filter (volume_ratio > 3) as volume_spikes from features group by 1, 2",
-    "anomaly_volume_spike": f"{FT} select {K}, {rsql(['volume', 'volume_ratio'])} from features where volume_ratio > 1.8::double",
+    "anomaly_volume_spike": f"with bars as ({BARS_SUPP}), m as (select *, volume / nullif({rolled('avg', 'volume', 20)}, 0) as volume_ratio from bars) select {K}, {rsql(['volume', 'volume_ratio'])} from m where volume_ratio > 3",
     "regime_share": f"{FT} select {K2}, regime, count(*) as bars, round(count(*) * 100.0::double / sum(count(*)) over {S}, 6) as pct from features group by 1, 2, 3",
     "vol_regime_share": f"{FT} select {K2}, vol_regime as regime, count(*) as bars, round(count(*) * 100.0::double / sum(count(*)) over {S}, 6) as pct from features group by 1, 2, 3",
     "symbol_correlation": f"{PAIR} select {K}, {rsql({'price_a': 'ca / fa', 'price_b': 'cb / fb', 'rolling_corr': 'rc'})} from c",
@@ -122,7 +123,7 @@ SQL = {
       select {K2}, count(*) as n, feature_a, feature_b, round(case when feature_a = feature_b then 1.0 else corr(a, b) end, 6) as corr from l group by {K2}, feature_a, feature_b""",
     "mutual_information": MI_SQL,
     "feature_stability": f"""{FT}, c as (select {K2}, least(90, greatest(20, count(*) // 10)) as w from features group by 1, 2),
-      u as (select {K}, unnest(['bb_pct', 'volume_ratio']) as feature, unnest([bb_pct, volume_ratio]) as value from features),
+      u as (select {K}, unnest({STABLE!r}) as feature, unnest([{', '.join(STABLE)}]) as value from features),
       v as (select u.*, w, row_number() over (partition by symbol, timeframe, feature order by open_time) as rn, avg(value) over (partition by symbol, timeframe, feature) as om from u join c using (symbol, timeframe) where value is not null),
       z as (select a.symbol, a.timeframe, a.feature, a.open_time, any_value(a.w) as w, any_value(a.value) as value, any_value(a.om) as om, any_value(a.rn) as rn, avg(b.value) as m, stddev_samp(b.value) as s
         from v a join v b on a.symbol = b.symbol and a.feature = b.feature and b.rn > a.rn - a.w and b.rn <= a.rn group by 1, 2, 3, 4)

@@ -45,7 +45,7 @@ QUERIES = {
     "normal_overlay": lambda x, d: out(s.normal_overlay(rets(x, d))),
     "kde_grid": lambda x, d: out(s.kde_grid(rets(x, d))),
     "qq_points": lambda x, d: out(s.qq_points(rets(x, d))),
-    "feature_distribution": lambda x, d: out(s.feature_distribution(with_feats(x, d), ["return_pct", "bb_pct", "price_zscore", "volume_ratio"])),
+    "feature_distribution": lambda x, d: out(s.feature_distribution(with_feats(x, d), FEATS)),
 }
 
 D = f"with recursive bars as ({BARS_1D}), r as (select * from (select *, ln(close / lag(close) over {W}) as x from bars where {GOOD}) where x is not null)"
@@ -104,8 +104,8 @@ SQL = {
 from contract.features_q import BASE, features_cte  # noqa: E402
 
 SQL["feature_distribution"] = (
-    f"with recursive {BASE}, {features_cte()}, u as (select {K}, unnest(['return_pct', 'bb_pct', 'price_zscore', 'volume_ratio']) as feature, "
-    "unnest([return_pct, bb_pct, price_zscore, volume_ratio]) as value from features) select symbol, timeframe, feature, count(value) as n, "
+    f"with recursive {BASE}, good as (select * from bars where {GOOD}), {features_cte('good')}, u as (select {K}, unnest({FEATS!r}) as feature, "
+    f"unnest([{', '.join(FEATS)}]) as value from features) select symbol, timeframe, feature, count(value) as n, "
     + rsql({"mean": "avg(value)", "std": "stddev_samp(value)", "skewness": "skewness(value)", "kurtosis": "kurtosis(value)"})
     + " from u where value is not null group by 1, 2, 3"
 )

@@ -11,15 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickframe.operators.blocks import DEFAULT, Layout, drop_index, index_series, over_block, own, row_blocks
+from wickframe.operators.blocks import DEFAULT, Layout, drop_index, index_series, over_block, own, row_blocks, top_per_series
 from wickframe.operators.stats import rank_values
-from wickframe.plans.lineage import cut
+from wickframe.plans.lineage import cut, written
 from wickframe.schema import SERIES, TIME
 
 KEYS = list(SERIES)
@@ -45,49 +42,307 @@ def _feature_names(scaled: DataFrame) -> list[str]:
     return [c for c in scaled.columns if c not in (*KEYS, TIME)]
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=_feature_names(scaled), outputCol="features").transform(scaled)
+def _stored_points(scaled: DataFrame) -> tuple[DataFrame, int]:
+    """Rows as (series, time, v), written once, and the number of features."""
+    names = _feature_names(scaled)
+    v = F.array(*[F.col(c).cast("double") for c in names])
+    return written(scaled.select(*KEYS, TIME, v.alias("v"))), len(names)
 
 
-def kmeans_sweep(scaled: DataFrame, k_range=(2, 9), seed: int = 42) -> tuple[int, list[dict]]:
-    """Inertia and silhouette (squared Euclidean) for every K; the best K has the largest silhouette."""
-    x = cut(_vectors(scaled))
-    score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean")
-    out = []
-    for k in range(k_range[0], k_range[1] + 1):
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x)
-        out.append({"k": k, "inertia": model.summary.trainingCost, "silhouette": score.evaluate(model.transform(x))})
-    return max(out, key=lambda r: r["silhouette"])["k"], out
+def _sampled(points: DataFrame, size: int) -> DataFrame:
+    """Up to ``size`` rows of every series, those whose time has the smallest hashes; the whole series where it is no longer."""
+    return top_per_series(points, size, [F.xxhash64(TIME), F.col(TIME)]).drop("_r", "_salt")
 
 
-def kmeans_labels(scaled: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    x = _vectors(scaled)
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x).transform(x).drop("features")
+def _with_series(points: DataFrame, per_series: DataFrame) -> DataFrame:
+    """Join one small row per series; the planner broadcasts it where its stored size allows."""
+    return points.join(per_series, KEYS)
 
 
-def hierarchical_clusters(scaled: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """Top-down hierarchy: clusters are split in two until there are ``k``."""
-    x = _vectors(scaled)
-    return BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x).transform(x).drop("features")
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    at = d.argmin(axis=1)
+    return at, d[np.arange(len(x)), at]
+
+
+def _lloyd(x: np.ndarray, centres: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
+    for _ in range(rounds):
+        at, _ = _nearest(x, centres)
+        n = np.bincount(at, minlength=len(centres))
+        sums = np.stack([np.bincount(at, x[:, j], len(centres)) for j in range(x.shape[1])], axis=1)
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    return centres, float(_nearest(x, centres)[1].sum())
+
+
+def _seeded(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres: each next one is drawn by its squared distance to those before."""
+    centres = [x[rng.integers(len(x))]]
+    best = ((x - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k:
+        total = best.sum()
+        at = rng.choice(len(x), p=best / total) if total > 0 else rng.integers(len(x))
+        centres.append(x[at])
+        best = np.minimum(best, ((x - x[at]) ** 2).sum(axis=1))
+    return np.array(centres)
+
+
+CENTRES = "symbol string, timeframe string, k int, c int, v array<double>"
+
+
+def _starting_centres(points: DataFrame, k_range, seed: int, sample: int, starts: int) -> DataFrame:
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(TIME)
+        x = np.array(pdf["v"].tolist(), float)
+        rng = np.random.default_rng(seed)
+        rows = []
+        for k in range(k_range[0], min(k_range[1], len(x)) + 1):
+            centres, _ = min((_lloyd(x, _seeded(x, k, rng), 300) for _ in range(starts)), key=lambda f: f[1])
+            rows += [(pdf["symbol"].iloc[0], pdf["timeframe"].iloc[0], k, c, v.tolist()) for c, v in enumerate(centres)]
+        return pd.DataFrame(rows, columns=[*KEYS, "k", "c", "v"])
+
+    return _sampled(points, sample).groupBy(*KEYS).applyInPandas(fit, CENTRES)
+
+
+def _per_batch(points: DataFrame, table: DataFrame, work, schema: str) -> DataFrame:
+    """``work(x, rows, pdf)`` for the rows of each series in a batch; ``table`` has some rows per series, with k and c."""
+    columns = [c for c in table.columns if c not in KEYS]
+    packed = table.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_t"))
+
+    def run(batches):
+        for pdf in batches:
+            for _, g in pdf.groupby(KEYS, sort=False):
+                rows = pd.DataFrame([r if isinstance(r, dict) else r.asDict() for r in g["_t"].iloc[0]])
+                out = work(np.array(g["v"].tolist(), float), rows, g)
+                if len(out):
+                    yield out.assign(symbol=g["symbol"].iloc[0], timeframe=g["timeframe"].iloc[0])[names]
+
+    names = [f.split()[0] for f in schema.split(", ")]
+    return _with_series(points, packed).mapInPandas(run, schema)
+
+
+def _cluster_sums(points: DataFrame, centres: DataFrame, dims: int) -> DataFrame:
+    """Per (series, k, c): rows, sums of the features, of squared lengths and of squared distances to the centre."""
+    sums = [f"s{j}" for j in range(dims)]
+
+    def work(x: np.ndarray, rows: pd.DataFrame, _) -> pd.DataFrame:
+        out = []
+        lengths = (x * x).sum(axis=1)
+        for k, part in rows.groupby("k"):
+            at, d = _nearest(x, np.array(part["v"].tolist(), float))
+            table = pd.DataFrame({"k": k, "c": at, "n": 1, "sq": lengths, "d": d, **{s: x[:, j] for j, s in enumerate(sums)}})
+            out.append(table.groupby(["k", "c"], as_index=False).sum())
+        return pd.concat(out)
+
+    schema = "symbol string, timeframe string, k int, c int, n bigint, sq double, d double, " + ", ".join(f"{s} double" for s in sums)
+    part = _per_batch(points, centres, work, schema)
+    return part.groupBy(*KEYS, "k", "c").agg(*[F.sum(s).alias(s) for s in ("n", "sq", "d", *sums)])
+
+
+def fit_centres(points: DataFrame, dims: int, k_range=(2, 9), seed: int = 42, sample: int = 2_000, starts: int = 10, rounds: int = 300) -> DataFrame:
+    """Centres (series, k, c, v) of every series and every k at once, by Lloyd's iteration over all rows.
+
+    The start comes from a bounded sample of each series. Every round is one pass over the rows, in which tasks add up
+    their rows before the shuffle, and one small stored table of centres; it ends when no centre moves any more.
+    """
+    centres = written(_starting_centres(points, k_range, seed, sample, starts))
+    for _ in range(rounds):
+        sums = _cluster_sums(points, centres, dims).select(*KEYS, "k", "c", F.array(*[F.col(f"s{j}") / F.col("n") for j in range(dims)]).alias("_new"))
+        moved = F.exists(F.arrays_zip("v", "_new"), lambda p: F.abs(p["v"] - p["_new"]) > 1e-9 * (1 + F.abs(p["v"])))
+        step = centres.join(sums, [*KEYS, "k", "c"], "left").select(
+            *KEYS, "k", "c", F.coalesce("_new", "v").alias("v"), F.coalesce(moved, F.lit(False)).alias("_moved")
+        )
+        step = written(step)
+        centres = step.drop("_moved")
+        if not step.filter("_moved").limit(1).count():
+            break
+    return centres
+
+
+def kmeans_sweep(scaled: DataFrame, k_range=(2, 9), seed: int = 42, **fit) -> DataFrame:
+    """Per series and k the inertia and the mean silhouette (squared Euclidean), and whether k has the largest one.
+
+    Clusters of one row have silhouette 0. A series has no k above its number of rows; ties go to the smallest k.
+    """
+    points, dims = _stored_points(scaled)
+    return _scores(points, fit_centres(points, dims, k_range, seed, **fit), dims)
+
+
+def _scores(points: DataFrame, centres: DataFrame, dims: int) -> DataFrame:
+    sums = written(_cluster_sums(points, centres, dims))
+    table = centres.join(sums, [*KEYS, "k", "c"], "left").select(
+        *KEYS, "k", "c", "v", F.coalesce("n", F.lit(0)).alias("n"), "sq", F.array(*[F.coalesce(f"s{j}", F.lit(0.0)) for j in range(dims)]).alias("s")
+    )
+
+    def work(x: np.ndarray, rows: pd.DataFrame, _) -> pd.DataFrame:
+        out = []
+        lengths = (x * x).sum(axis=1)
+        for k, part in rows.groupby("k"):
+            at, _ = _nearest(x, np.array(part["v"].tolist(), float))
+            n = part["n"].to_numpy(float)
+            mean = np.array(part["s"].tolist(), float) / np.maximum(n, 1)[:, None]
+            d = lengths[:, None] + (part["sq"].fillna(0).to_numpy(float) / np.maximum(n, 1))[None, :] - 2 * x @ mean.T
+            d[:, n == 0] = np.inf
+            i = np.arange(len(x))
+            own = np.maximum(d[i, at], 0) * n[at] / np.maximum(n[at] - 1, 1)
+            d[i, at] = np.inf
+            other = d.min(axis=1)
+            top = np.maximum(own, other)
+            s = np.where((n[at] > 1) & (top > 0) & np.isfinite(top), (other - own) / np.where(top > 0, top, 1.0), 0.0)
+            out.append((k, float(s.sum()), len(x)))
+        return pd.DataFrame(out, columns=["k", "s", "n"])
+
+    silhouette = _per_batch(points, table, work, "symbol string, timeframe string, k int, s double, n bigint")
+    scores = silhouette.groupBy(*KEYS, "k").agg((F.sum("s") / F.sum("n")).alias("silhouette"))
+    inertia = sums.groupBy(*KEYS, "k").agg(F.sum("d").alias("inertia"))
+    best = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.desc("silhouette"), "k")) == 1  # over one row per k
+    return inertia.join(scores, [*KEYS, "k"]).select(*KEYS, "k", "inertia", "silhouette", best.alias("best"))
+
+
+def kmeans_labels(scaled: DataFrame, k: int | None = None, seed: int = 42, k_range=(2, 9), **fit) -> DataFrame:
+    """The cluster of every row within its series; ``k`` is the same for all series or, by default, the best one of each."""
+    points, dims = _stored_points(scaled)
+    centres = fit_centres(points, dims, k_range if k is None else (k, k), seed, **fit)
+    if k is None:
+        best = _scores(points, centres, dims).filter("best").select(*KEYS, "k")
+        centres = centres.join(best, [*KEYS, "k"])
+    return scaled.join(_labelled(points, centres), [*KEYS, TIME])
+
+
+def _labelled(points: DataFrame, centres: DataFrame) -> DataFrame:
+    def work(x: np.ndarray, rows: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
+        at, _ = _nearest(x, np.array(rows["v"].tolist(), float))
+        return pd.DataFrame({TIME: pdf[TIME].to_numpy(), "cluster": rows["c"].to_numpy()[at]})
+
+    return _per_batch(points, centres, work, f"symbol string, timeframe string, {TIME} timestamp, cluster int")
+
+
+def ward(x: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """Labels of weighted points after Ward's agglomeration into ``k`` clusters, by nearest-neighbour chains."""
+    m = len(x)
+    if m <= k:
+        return np.arange(m)
+    w = weight.astype(float).copy()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) * (w[:, None] * w[None, :] / (w[:, None] + w[None, :]))
+    np.fill_diagonal(d, np.inf)
+    alive = np.ones(m, bool)
+    chain: list[int] = []
+    merges = []
+    while len(merges) < m - 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(alive)[0]))
+        while True:
+            i = chain[-1]
+            j = int(d[i].argmin())
+            if len(chain) > 1 and d[i, chain[-2]] <= d[i, j]:
+                j = chain[-2]
+                break
+            chain.append(j)
+        chain = chain[:-2]
+        height = d[i, j]
+        rest = alive.copy()
+        rest[[i, j]] = False
+        total = w[i] + w[j] + w[rest]
+        d[i, rest] = ((w[i] + w[rest]) * d[i, rest] + (w[j] + w[rest]) * d[j, rest] - w[rest] * height) / total
+        d[rest, i] = d[i, rest]
+        d[j], d[:, j], alive[j] = np.inf, np.inf, False
+        w[i] += w[j]
+        merges.append((height, i, j))
+    parent = np.arange(m)
+
+    def root(a: int) -> int:
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    # a merge is never higher than one that needs it, so the lowest m - k belong to the cut
+    for _, i, j in sorted(merges, key=lambda t: t[0])[: m - k]:
+        a, b = root(i), root(j)
+        parent[max(a, b)] = min(a, b)
+    roots = [root(a) for a in range(m)]
+    number = {r: n for n, r in enumerate(dict.fromkeys(roots))}
+    return np.array([number[r] for r in roots])
+
+
+def hierarchical_clusters(scaled: DataFrame, k: int, micro: int = 1_000) -> DataFrame:
+    """Ward's agglomeration of every series into ``k`` clusters, numbered by their first row in time.
+
+    A series of up to ``micro`` rows is agglomerated row by row. In a longer one ``micro`` of its rows (those with the smallest
+    hashes) gather the rows that are nearest to them, and these groups are agglomerated with their centres and sizes.
+    """
+    points, dims = _stored_points(scaled)
+    chosen = written(_sampled(points, micro).select(*KEYS, F.lit(0).alias("k"), F.row_number().over(Window.partitionBy(*KEYS).orderBy(TIME)).alias("c"), "v", TIME))
+    seeds = chosen.drop(TIME)
+    sums = written(_cluster_sums(points, seeds.withColumn("c", F.col("c") - 1), dims))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("c")
+        n = pdf["n"].to_numpy(float)
+        x = pdf[[f"s{j}" for j in range(dims)]].to_numpy(float) / n[:, None]
+        out = pdf[[*KEYS, "c"]].copy()
+        out["label"] = ward(x, n, k)
+        return out
+
+    groups = sums.groupBy(*KEYS).applyInPandas(fit, "symbol string, timeframe string, c int, label int")  # at most ``micro`` rows
+    near = _labelled(points, seeds.withColumn("c", F.col("c") - 1)).withColumnRenamed("cluster", "c")
+    return scaled.join(near.join(groups, [*KEYS, "c"]).select(*KEYS, TIME, F.col("label").alias("cluster")), [*KEYS, TIME])
 
 
 def cluster_profile(labelled: DataFrame) -> DataFrame:
-    """Size, percentage and mean standardised features of every cluster."""
+    """Size, percentage and mean standardised features of every cluster of every series."""
     feats = [c for c in _feature_names(labelled) if c != "cluster"]
-    out = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in feats])
-    total = F.sum("size").over(Window.partitionBy(F.lit(1)))  # over one row per cluster
+    out = labelled.groupBy(*KEYS, "cluster").agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in feats])
+    total = F.sum("size").over(Window.partitionBy(*KEYS))  # over one row per cluster
     return out.withColumn("pct", F.col("size") / total * 100)
 
 
-def pca_2d(scaled: DataFrame) -> tuple[DataFrame, list[float]]:
-    """First two principal components of every row, and the variance they explain in percent."""
-    x = _vectors(scaled)
-    model = PCA(k=2, inputCol="features", outputCol="_p").fit(x)
-    from pyspark.ml.functions import vector_to_array
+def principal_axes(scaled: DataFrame, components: int = 2) -> DataFrame:
+    """Per series and component the axis (largest loading positive), the centre and the share of the variance in percent.
 
-    p = vector_to_array(F.col("_p"))
-    out = model.transform(x).select(*KEYS, TIME, p[0].alias("pc1"), p[1].alias("pc2"))
-    return out, [float(v) * 100 for v in model.explainedVariance]
+    One aggregate collects means and covariances of all series; only these leave the tasks.
+    """
+    feats = _feature_names(scaled)
+    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
+    moments = scaled.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in feats]).alias("mean"), F.array(*[F.covar_pop(a, b) for a, b in pairs]).alias("cov")
+    )
+    d = len(feats)
+
+    def axes(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in pdf.itertuples():
+            m = np.zeros((d, d))
+            m[np.triu_indices(d)] = row.cov
+            values, vectors = np.linalg.eigh(m + np.triu(m, 1).T)
+            values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+            total = values.sum()
+            for c in range(min(components, d)):
+                axis = vectors[:, c] * np.sign(vectors[np.abs(vectors[:, c]).argmax(), c])
+                out.append((row.symbol, row.timeframe, c + 1, axis.tolist(), list(row.mean), 100 * values[c] / total if total > 0 else 0.0))
+        return pd.DataFrame(out, columns=[*KEYS, "component", "axis", "mean", "explained_pct"])
+
+    schema = "symbol string, timeframe string, component int, axis array<double>, mean array<double>, explained_pct double"
+    return moments.mapInPandas(lambda it: map(axes, it), schema)
+
+
+def pca_2d(scaled: DataFrame) -> DataFrame:
+    """First two principal components of every row within its series, and the share of the variance they explain in percent."""
+    feats = _feature_names(scaled)
+    axes = written(principal_axes(scaled))
+    per_series = axes.groupBy(*KEYS).agg(
+        F.first("mean").alias("_mean"),
+        *[F.max(F.when(F.col("component") == c, F.col(x))).alias(f"_{x}{c}") for c in (1, 2) for x in ("axis", "explained_pct")],
+    )
+    rows = _with_series(scaled, per_series)
+
+    def along(axis: str):
+        return sum(((F.col(c) - F.col("_mean")[i]) * F.col(axis)[i] for i, c in enumerate(feats)), F.lit(0.0))
+
+    return rows.select(
+        *KEYS, TIME, along("_axis1").alias("pc1"), along("_axis2").alias("pc2"), F.col("_explained_pct1").alias("explained_1"), F.col("_explained_pct2").alias("explained_2")
+    )
 
 
 def systematic_sample(df: DataFrame, size: int = 300, layout: Layout = DEFAULT) -> DataFrame:
