@@ -137,6 +137,42 @@ def test_stream_upsert_is_idempotent(spark, tmp_path):
     assert all(r.status == "success" for r in runs.values())
 
 
+def test_repeated_batch_reports_the_same_counts(spark, tmp_path, monkeypatch):
+    table, log, tmp = (str(tmp_path / x) for x in ("table", "log", "tmp"))
+    store.init_store(spark, table)
+    run = s.upsert_batch(spark, table, log, tmp, query="q")
+    first = spark.createDataFrame(candle_rows(30)).withColumn("seq", F.lit(1))
+    later = spark.createDataFrame(candle_rows(40)).withColumn("seq", F.lit(1))
+    run(first, 0)
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    write = store.write_candles
+    monkeypatch.setattr(store, "write_candles", lost)  # the merge is complete, the table is not replaced
+    with pytest.raises(RuntimeError):
+        run(later, 1)
+    monkeypatch.setattr(store, "write_candles", write)
+    for _ in range(2):
+        run(later, 1)
+        assert store.read_store(spark, table).count() == 40
+        runs = {r.run_id: r for r in store.audit_log(spark.read.parquet(log)).collect()}
+        assert (runs["q-0"].rows_inserted, runs["q-0"].rows_updated) == (30, 0)
+        assert (runs["q-1"].rows_inserted, runs["q-1"].rows_updated, runs["q-1"].status) == (10, 30, "success")
+    assert spark.read.parquet(log).filter("run_id = 'q-1'").count() == 2
+
+
+def test_touched_months_are_listed(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    store.init_store(spark, table)
+    store.write_candles(spark.createDataFrame(candle_rows(900)).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}), table)
+    ends = spark.createDataFrame(candle_rows(900)).filter("open_time < '2023-01-03' or open_time > '2025-06-10'").withColumn("month", store._month())
+    for listed in (500, 1):
+        monkeypatch.setattr(store, "LISTED", listed)
+        got = store.touched_partitions(store.read_store(spark, table), ends)
+        assert got.select("month").distinct().count() == 2 and got.count() == 31 + 18
+
+
 def test_audit_of_failed_run(spark):
     series = spark.createDataFrame([("A", "1d")], "symbol string, timeframe string")
     started = store.log_start(series, "initial", F.lit(datetime(2024, 1, 1)), "r")

@@ -6,6 +6,7 @@ import json
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,36 +116,63 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORE_SCHEMA).parquet(path).withColumns({c: F.col(c).cast("double") for c in OHLCV})
 
 
+LISTED = 500  # values of a partition column that are listed one by one
+COUNTS = "symbol string, timeframe string, rows_inserted bigint, rows_updated bigint"
+
+
 def touched_partitions(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     """Rows of ``stored`` in the partitions that ``fresh`` (written, so it is cheap to read twice) has rows in.
 
-    Range of months and of names come as literals, which prune the listing of files; the semi join
-    keeps the exact partitions. The driver sees one row.
+    The values of each partition column come as literals, which prune the listing of files: one by one up to ``LISTED``
+    different ones, so a bar from years ago adds its own month only, and as a range beyond that. The semi join
+    keeps the exact partitions. The driver sees ``LISTED`` values a column at most.
     """
-    edges = fresh.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in PARTITIONS for f in (F.min, F.max)]).first()
-    if edges["min_month"] is None:
-        return stored.filter(F.lit(False))
     for c in PARTITIONS:
-        stored = stored.filter(F.col(c).between(F.lit(edges[f"min_{c}"]), F.lit(edges[f"max_{c}"])))
+        values = [r[0] for r in fresh.select(c).filter(F.col(c).isNotNull()).distinct().limit(LISTED + 1).collect()]
+        if not values:
+            return stored.filter(F.lit(False))
+        if len(values) <= LISTED:
+            stored = stored.filter(F.col(c).isin(values))
+        else:
+            edges = fresh.agg(F.min(c), F.max(c)).first()
+            stored = stored.filter(F.col(c).between(F.lit(edges[0]), F.lit(edges[1])))
     return stored.join(fresh.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
 
 
-def merge_into_store(spark: SparkSession, path: str, incoming: DataFrame, now: Column, scratch: str) -> DataFrame:
+def _earlier_counts(spark: SparkSession, scratch: str) -> DataFrame | None:
+    """Counts that a complete merge left in its folder; they are written last, so the merged rows are there too."""
+    try:
+        return spark.read.schema(COUNTS).parquet(f"{scratch}/counts")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def merge_into_store(spark: SparkSession, path: str, incoming: DataFrame, now: Column, scratch: str, repeatable: bool = False) -> DataFrame:
     """Upsert into the table at ``path`` and return the counts per series.
 
     The incoming rows are written to ``scratch`` (a shared folder, one per call) first; their range of
     partitions prunes the table. Only months that receive rows are rewritten. The merged months go to ``scratch``
     too before they replace the old ones, so a lost executor cannot make the job read half-replaced
     partitions. One writer at a time.
+
+    With ``repeatable`` the call may be made again with the same ``scratch``, after a success or a failure, as long as no
+    other merge came between: if the merged rows are complete there, they are written again and the counts are those of the first call.
     """
-    incoming.select(*SERIES, TIME, *OHLCV).withColumn("month", _month()).write.mode("errorifexists").parquet(f"{scratch}/fresh")
+    if repeatable and (counts := _earlier_counts(spark, scratch)) is not None:
+        write_candles(spark.read.parquet(f"{scratch}/merged").drop("action"), path)
+        return counts
+    mode = "overwrite" if repeatable else "errorifexists"
+    incoming.select(*SERIES, TIME, *OHLCV).withColumn("month", _month()).write.mode(mode).parquet(f"{scratch}/fresh")
     fresh = spark.read.parquet(f"{scratch}/fresh")
     stored = touched_partitions(read_store(spark, path), fresh)
     merged = upsert_candles(stored.drop("month"), fresh.drop("month"), now)
-    merged.write.mode("errorifexists").parquet(f"{scratch}/merged")
+    merged.write.mode(mode).parquet(f"{scratch}/merged")
     merged = spark.read.parquet(f"{scratch}/merged")
+    upsert_counts(merged).write.mode(mode).parquet(f"{scratch}/counts")
     write_candles(merged.drop("action"), path)
-    return upsert_counts(merged)
+    return spark.read.schema(COUNTS).parquet(f"{scratch}/counts")
 
 
 def incremental_slice(fetched: DataFrame, stored: DataFrame, refresh_last: bool = False) -> DataFrame:

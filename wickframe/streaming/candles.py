@@ -60,8 +60,9 @@ def stream_latest(candles: DataFrame) -> DataFrame:
 def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, seq: str = "seq", query: str = "batch"):
     """Function for ``foreachBatch``: clean, merge into the table, append to the run log.
 
-    A repeated batch merges the same rows again and writes the same run id, so a restart after a
-    failure leaves table and log as if the batch had run once.
+    A run has its own folder under ``scratch`` (shared, and kept from run to run) by query and batch id. A repeated batch finds
+    there the merged rows and counts of its first run and writes them again, and its events replace those of that run;
+    so a restart after a failure, wherever it struck, leaves table, counts and log as if the batch had run once.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -71,12 +72,12 @@ def upsert_batch(spark: SparkSession, path: str, log_path: str, scratch: str, se
         cleaned = clean_candles(batch, seq=seq)
         started = store.log_start(cleaned.select(*KEYS).distinct(), "incremental", at, run_id)
         try:
-            counts = store.merge_into_store(spark, path, cleaned, at, f"{scratch}/{run_id}-{uuid.uuid4().hex}")
+            counts = store.merge_into_store(spark, path, cleaned, at, f"{scratch}/{run_id}", repeatable=True)
         except Exception as error:
-            store.log_finish(started, None, at, str(error)).write.mode("append").parquet(log_path)
+            store.log_finish(started, None, at, str(error)).write.mode("append").parquet(f"{log_path}/run={run_id}")
             raise
         events = started.unionByName(store.log_finish(started, counts, F.current_timestamp()))
-        events.write.mode("append").parquet(log_path)
+        events.write.mode("overwrite").parquet(f"{log_path}/run={run_id}")
 
     return run
 
