@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from wickframe.llm import collocations as col
 from wickframe.llm import pair_bpe, periodic_runs
@@ -181,6 +182,27 @@ def test_runs_query(spark, sf):
         assert got.collapsed_sha256 == hashlib.sha256(b" ".join(x for t, x in enumerate(w) if t not in drop)).hexdigest()
 
 
+# reading of WARC bundles
+
+
+def test_bundles_are_read_by_many_tasks(spark, tmp_path):
+    from wickframe.llm import warc
+
+    pages = spark.range(3000).selectExpr("id as page_id", "concat('http://a/', id) as url", "repeat(concat('x', id), 40) as html").coalesce(1)
+    index = warc.write_bundles(pages, str(tmp_path), frame=2_000)
+    assert index.select("bundle").distinct().count() == 1
+    read = warc.read_bundles(index, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    rows = read.collect()
+    assert sorted(r.page_id for r in rows) == list(range(3000))
+    assert len({r.task for r in rows}) > 1
+    got = warc.fetch_records(index.filter("page_id % 7 = 0").repartition(3), str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got) == list(range(0, 3000, 7))
+    for r in got:
+        headers, block, end = warc.parse_record(bytes(r.record))
+        assert end == len(r.record) and warc.read_record(headers, block)[0] == r.page_id
+    assert warc.read_bundles(index.filter("false"), str(tmp_path)).count() == 0
+
+
 # pair-index BPE
 
 

@@ -34,6 +34,8 @@ from wickframe.llm.common import arrow_schema, cut, shared_folder, table
 
 FRAME = 256 * 1024  # bytes of records in a frame, at least
 BUNDLE = 64 * 1024 * 1024  # compressed bytes of a bundle, about
+STRIDE = 32  # frames of a bundle that one task reads together
+PARTS = 8  # such parts that a task reads, about, where there are many
 # Fixed values of the seekable format: magic of skippable frames used for the table, and of the footer.
 TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -216,38 +218,67 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 0, frame: int
 RECORDS = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
+def _dealt(wanted: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with (bundle, part), all of one part in one task; tasks get about ``PARTS`` parts, and all cores some.
+
+    The hash keeps the exchange apart from one by the columns themselves, which the planner would drop or shrink to one
+    task, since index rows are few bytes however much they stand for.
+    """
+    cores = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = groups.count()
+    return wanted.repartition(max(min(n, cores), n // PARTS, 1), F.xxhash64("bundle", "part")).sortWithinPartitions("bundle", "part")
+
+
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
-    """All records of the bundles named in the index, read frame by frame through their seek tables."""
+    """All records of the bundles named in the index, read frame by frame through their seek tables.
+
+    A bundle is read in parts of ``STRIDE`` frames by different tasks.
+    """
     fields = arrow_schema(RECORDS)
 
     def run(batches):
         system, _ = _open_fs(folder)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, part in zip(*[c.to_pylist() for c in batch.columns]):
                 with system.open_input_file(name) as file:
-                    for frame in seek_table(file):
+                    for frame in seek_table(file)[part * STRIDE : (part + 1) * STRIDE]:
                         data, at, out = read_frame(file, frame), 0, []
                         while at < len(data):
                             headers, block, at = parse_record(data, at)
                             out.append(read_record(headers, block))
                         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), fields)], schema=fields)
 
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.select("bundle").distinct().repartition(n, "bundle").mapInArrow(run, RECORDS)
+    parts = index.select("bundle", F.floor(F.col("frame") / STRIDE).cast("int").alias("part")).distinct()
+    return _dealt(parts, parts).mapInArrow(run, RECORDS)
 
 
 def fetch_records(wanted: DataFrame, folder: str) -> DataFrame:
-    """Single records by their index rows: page_id and the record's bytes, one seek and one frame each."""
+    """Single records by their index rows: page_id and the record's bytes.
+
+    Rows are grouped by bundle and part, so a task opens a bundle, reads its seek table and unpacks each frame once.
+    """
 
     def run(batches):
         system, _ = _open_fs(folder)
-        for batch in batches:
-            for page_id, name, frame, offset, length in zip(*[c.to_pylist() for c in batch.columns]):
-                with system.open_input_file(name) as file:
-                    data = read_frame(file, seek_table(file)[frame])
+        file = opened = unpacked = None
+        try:
+            for batch in batches:
+                for page_id, name, frame, offset, length in zip(*[c.to_pylist() for c in batch.columns]):
+                    if name != opened:
+                        if file is not None:
+                            file.close()
+                        file, opened, unpacked = system.open_input_file(name), name, None
+                        frames = seek_table(file)
+                    if unpacked != frame:
+                        data, unpacked = read_frame(file, frames[frame]), frame
                     yield pa.RecordBatch.from_pydict({"page_id": [page_id], "record": [data[offset : offset + length]]})
+        finally:
+            if file is not None:
+                file.close()
 
-    return wanted.select("page_id", "bundle", "frame", "offset", "length").mapInArrow(run, "page_id bigint, record binary")
+    rows = wanted.select("page_id", "bundle", "frame", "offset", "length", F.floor(F.col("frame") / STRIDE).cast("int").alias("part"))
+    dealt = _dealt(rows, rows.select("bundle", "part").distinct()).sortWithinPartitions("bundle", "part", "frame", "offset")
+    return dealt.drop("part").mapInArrow(run, "page_id bigint, record binary")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
