@@ -17,11 +17,14 @@ from pyspark.sql import types as T
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the session names none, as in local tests, a temporary folder is made and set.
+    Only where a local session names none, as in tests, a temporary folder is made and set; on a cluster that is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wickframe-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="wickframe-"))
     return sc.getCheckpointDir()
 
 
