@@ -16,7 +16,8 @@ from wickframe.sources import store
 from wickframe.sources.adapters import bars_1d, bars_1h
 
 K2 = "symbol, timeframe"
-SMALL = {"gbt": {"maxIter": 4, "maxDepth": 3}, "forest": {"numTrees": 5, "maxDepth": 4}}
+FOLDS, STEPS = 5, 7
+_FITTED: dict = {}  # the model of the last session and folder; seven queries use the same one
 
 
 def rule(spark, sf):
@@ -69,19 +70,24 @@ def folds(spark, sf):
     return t.cv_summary(x.groupBy(*SERIES, "fold").agg(F.avg(F.abs(F.col("close") - F.col("open"))).alias("val_loss")), by=SERIES)
 
 
-def rows(spark, sf, folds=2):
+def rows(spark, sf, folds=FOLDS):
     return m.split_rows(m.supervised_rows(bars_1h(spark, sf)), folds=folds)
 
 
 def fitted(spark, sf):
-    r = m.cut(rows(spark, sf))
-    model = m.fit_stacking(r.filter("part = 'train'"), params=SMALL)
-    return m.calibrate(model, r.filter("part = 'calibration'")), r
+    """Model with default learners, and its rows."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        r = m.cut(rows(spark, sf))
+        model = m.calibrate(m.fit_stacking(r.filter("part = 'train'")), r.filter("part = 'calibration'"))
+        _FITTED.clear()
+        _FITTED[key] = model, r
+    return _FITTED[key]
 
 
 def _oof(spark, sf):
     r = m.cut(rows(spark, sf)).filter("part = 'train'")
-    return m.oof_predictions(r, m.feature_columns(r, exclude=("y", "fold")), SMALL).select(*SERIES, TIME, "fold", "y", "oof_gbt", "oof_forest")
+    return m.oof_predictions(r, m.feature_columns(r, exclude=("y", "fold"))).select(*SERIES, TIME, "fold", "y", "oof_gbt", "oof_forest")
 
 
 def _stack(spark, sf):
@@ -106,7 +112,7 @@ def _importance(spark, sf):
 
 
 def _tune(spark, sf):
-    r = m.cut(rows(spark, sf)).filter("part = 'train'")
+    r = m.cut(rows(spark, sf, 2)).filter("part = 'train'")
     _, trials = m.tune_hyperparams(r, "forest", m.feature_columns(r, exclude=("y", "fold")), trials=3, startup=1, warmup=0)
     flat = [(x["trial"], x["score"], x["pruned"], float(x["params"]["numTrees"]), float(x["params"]["maxDepth"])) for x in trials]
     return spark.createDataFrame(flat, "trial long, score double, pruned boolean, num_trees double, max_depth double")
@@ -115,7 +121,7 @@ def _tune(spark, sf):
 def _recursive(mode):
     def run(spark, sf):
         model, _ = fitted(spark, sf)
-        return m.recursive_forecast(model, bars_1h(spark, sf), 3, mode)
+        return m.recursive_forecast(model, bars_1h(spark, sf), STEPS, mode)
 
     return run
 
