@@ -37,7 +37,10 @@ def test_null_rows(spark, tmp_path, name):
     }
     found = entry.queries()[name](spark, write(spark, tmp_path / "t", rows)).count()
     table = "embeddings" if name.startswith("op1_") else "pages" if name.startswith(("op6", "op8")) else "documents"
-    assert found == len(rows[table]) or name == "pipeline"
+    if name.startswith("op11_"):  # one row per phrase, and none occurs ten times
+        assert found == 0
+    else:
+        assert found == len(rows[table]) or name == "pipeline"
 
 
 def test_stages(spark):
