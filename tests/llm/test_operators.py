@@ -269,3 +269,55 @@ def test_odd_vectors(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
     assert [got[i] for i in (1, 2, 3, 12)] == [(3, 1, True), (3, 1, False), (3, 1, False), (3, 1, False)]
     assert all(got[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11, 13)) and got[None] == (0, None, False)
+
+
+def test_vectors_with_repeated_ids_and_text_labels(spark):
+    """Rows of one id with different vectors or labels keep apart; labels of several types."""
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (2, [0.0, 1.0], "a"), (3, [0.01, 1.0], "a"), (2, [1.0, 0.0], "b"), (4, [1.0, 0.01], "b")]
+    for kind, name in (("string", str), ("long", lambda x: 2**40 + ord(x)), ("binary", lambda x: bytes([200, ord(x)]))):
+        data = spark.createDataFrame([(i, v, name(x), "k", 1) for i, v, x in rows], f"vec_id long, embedding array<float>, label {kind}, rep string, n int")
+        got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.link_vectors(data).collect())
+        assert got == [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 2, True), (2, 1, 2, True), (3, 1, 2, False), (4, 1, 2, False)]
+
+
+def test_vectors_against_all_pairs(spark):
+    """Repeated ids, copies and near copies: links and components of each row from all pairs."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(12, 6))
+    rows = [(int(rng.integers(80)), (base[rng.integers(12)] + rng.normal(0, 0.22, 6)).astype(np.float32).tolist(), int(rng.integers(2))) for _ in range(150)]
+    rows += [rows[0]] * 3 + [(99, rows[0][1], rows[0][2])]
+    v = np.array([r[1] for r in rows])
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    label = np.array([r[2] for r in rows])
+    hit = (v @ v.T >= embedding_dedup.THRESHOLD) & (label[:, None] == label)
+    np.fill_diagonal(hit, False)
+    part = plain_components(len(rows), zip(*(x.tolist() for x in np.nonzero(hit))))
+    least = {p: min(rows[i][0] for i in range(len(rows)) if part[i] == p) for p in part}
+    want = sorted((r[0], int(hit[i].sum()), least[part[i]]) for i, r in enumerate(rows))
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.link_vectors(data, tile=16).collect())
+    assert got == want and len({w[2] for w in want}) > 3
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "one two three four", 5, 6), (2, "one two three four", 5, 6), (3, "five six seven eight", 7, 8), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key long, _KEY_ int")
+    got = simhash.keep_first(docs)
+    assert got.columns == docs.columns and sorted(tuple(r) for r in got.filter("doc_id is not null").collect()) == [rows[0], rows[2]]
+    for key in ("bytes", "h", "s", "depth", "cell"):
+        named = spark.createDataFrame([(1, "x" * 50), (2, "y" * 50), (None, None)], f"{key} long, text string")
+        out = sharding.assign_shards(named, key=key, limit=60)
+        assert sorted(r["bytes"] for r in out.collect()) == [0, 50, 50] and out.columns[0] == (f"{key}_key" if key in sharding.RESULT else key)
+
+
+def test_language_of_long_texts_only(spark):
+    """A language whose texts are all very long is learned; empty and null texts teach nothing."""
+    rng = random.Random(4)
+    kinds = {"aa": "abcde", "zz": "vwxyz"}
+    rows = [(i, "".join(rng.choice(a + " ") for _ in range(300 if lang == "aa" else 60_000)), lang) for i, (lang, a) in enumerate(list(kinds.items()) * 12)]
+    rows += [(900, "abc de", "aa")] * 30 + [(901, "", "ee"), (902, None, "nn")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language.learn(docs)
+    assert net.languages == ["aa", "zz"]
+    texts = ["edcba abc", "zyx wvv zzy"]
+    assert [p[0] for p in language.predictor(net)([t.encode() for t in texts])] == ["aa", "zz"]

@@ -42,6 +42,14 @@ def as_long(c: str):
     return F.col(c).cast("bigint")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[tuple], list[tuple]]], rows: int = 256) -> DataFrame:
     """``mapInArrow`` over rows: ``make()`` runs once per task and returns the function row -> rows.
 

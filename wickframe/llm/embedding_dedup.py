@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a tiled comparison in PCA order.
 
-Equal vectors are one class. Vectors of a label are unit vectors in double precision, turned into the
+Equal vectors of a label are one class, and classes are numbered, so an id may come with several vectors
+or labels. Vectors of a label are unit vectors in double precision, turned into the
 axes of a principal component analysis (fitted on a bounded sample; any rotation keeps cosines, so the
 sample only decides how early comparisons stop). Since cosine c means a distance of sqrt(2 - 2c), linked
 vectors lie in equal or adjacent cells of a grid over the two leading axes. Cells are dealt into tiles
@@ -11,8 +12,9 @@ by the full product of the vectors as given. A comparison returns counts and a s
 pairs, so thousands of near copies make no more rows than they have vectors.
 
 Nulls, ties and edge cases: vectors that are null, zero, empty or hold null or non-finite components, and rows with a
-null label or id, link with nothing; vectors of different lengths are not compared; of rows with equal
-ids each counts; extra columns are ignored.
+null label or id, link with nothing; vectors of different lengths are not compared; a label may have any
+type that can be written as text; of rows with equal ids each counts, and each has the links and the component of its
+own vector; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,10 +90,11 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(sound, F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = rows.withColumn("ok", usable)
-    classes = cut(rows.filter("ok").groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    classes = rows.filter("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))  # numbers are fixed once they are written
 
     seen: dict[int, list] = {}
-    for r in classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v").collect():
+    for r in classes.orderBy(F.xxhash64("least"), "least").limit(sample).select("v").collect():
         seen.setdefault(len(r["v"]), []).append(r["v"])
     axes = {d: principal_axes(unit(np.array(x))) for d, x in seen.items()}
     width = float(np.sqrt(max(2 - 2 * threshold, 0))) + SLACK
@@ -99,7 +102,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     def turn(d: int) -> np.ndarray:
         return axes.get(d, np.eye(d))
 
-    place_schema = "label int, dim int, x int, y int, rep bigint, n bigint, v array<double>"
+    place_schema = "label string, dim int, x int, y int, rep bigint, n bigint, v array<double>"
     place_fields = arrow_schema(place_schema)
 
     def place(batches):
@@ -113,7 +116,8 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), place_fields)], schema=place_fields)
 
     cell = ["label", "dim", "x", "y"]
-    placed = cut(classes.select(F.col("label").cast("int"), "v", "rep", "n").mapInArrow(place, place_schema))
+    label_text = F.hex("label") if dict(classes.dtypes)["label"] == "binary" else F.col("label").cast("string")
+    placed = cut(classes.select(label_text.alias("label"), "v", "rep", "n").mapInArrow(place, place_schema))
     sizes = placed.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("k"))
     dealt = placed.join(sizes, cell).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     tiles = cut(dealt.groupBy(*cell, "t").agg(F.collect_list(F.struct("rep", "n", "v")).alias("m")))  # about `tile` each
@@ -160,9 +164,10 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     found = cut(both.select(same.alias("same"), "a", "b").mapInArrow(compare, found_schema))
     roots = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = classes.select("label", "v", "rep", "n").join(links, "rep", "left").join(roots, F.col("rep") == roots.node, "left")
+    least = classes.select("rep", "least").join(roots, F.col("rep") == roots.node).groupBy("root").agg(F.min("least").alias("component_id"))
+    named = classes.join(links, "rep", "left").join(roots, F.col("rep") == roots.node, "left").join(least, "root", "left")
     named = named.select(
-        "label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")
+        "label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")
     )
     good = rows.filter("ok").join(named, ["label", "v"]).select("vec_id", "n_links", "component_id")
     bad = rows.filter("not ok").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))

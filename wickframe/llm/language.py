@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickframe.llm.common import arrow_schema, table
@@ -171,22 +171,25 @@ def training_windows(texts: list[bytes], labels: list[int], per_text: int = 4, s
 def learn(docs: DataFrame, allowed: Column | None = None, per_language: int = 400, max_bytes: int = 16_384, languages: int = 200) -> ByteNet | None:
     """Train on a bounded sample of labelled rows.
 
-    For each of at most ``languages`` (the most frequent) languages, up to ``per_language`` documents
-    of at most ``max_bytes`` bytes, the first by a hash of their id. ``allowed`` says which rows may be used.
+    For each of at most ``languages`` (the most frequent) languages, up to ``per_language`` documents that are not empty,
+    the first by a hash of their id. Of a text with more than ``max_bytes / 4`` characters a piece of that length is taken,
+    from a place that the id's hash picks, so a language of long texts only is learned too. Rows of one id and language teach once, the smallest piece. ``allowed`` says which rows may be used.
     """
     allowed = F.lit(True) if allowed is None else allowed
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & allowed)
+    usable = usable.filter(F.octet_length("text") > 0)
     found = [r[0] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
     if not found:
         return None
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = None
-    for lang in found:
-        ids = usable.filter(F.col("lang") == lang).select("doc_id", "lang").orderBy(*order).limit(per_language)
-        picked = ids if picked is None else picked.union(ids)
-    texts = usable.filter((F.octet_length("text") <= max_bytes) & (F.octet_length("text") > 0)).select("doc_id", "lang", "text")
-    rows = texts.join(F.broadcast(picked.distinct()), ["doc_id", "lang"], "left_semi").collect()  # languages x per_language ids
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # a limit per group: pruned before the shuffle
+    ids = usable.filter(F.col("lang").isin(found)).select("doc_id", "lang").withColumn("_n", F.row_number().over(window))
+    picked = ids.filter(F.col("_n") <= per_language).select("doc_id", "lang").distinct()
+    size = max(max_bytes // 4, 1)
+    start = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - size + 1, F.lit(1)))
+    pieces = usable.select("doc_id", "lang", F.substring("text", start.cast("int"), F.lit(size)).alias("text"))
+    rows = pieces.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")  # languages x per_language ids
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     names = sorted({r["lang"] for r in rows})
     if not names:
         return None

@@ -8,7 +8,7 @@ step. The directory (prefix, depth, bytes) and the assignment are plain tables;
 
 Nulls, ties and edge cases: a null key hashes as an empty string; a null text has 0 bytes; rows with equal keys cannot
 be told apart, so a shard of one key is not split even beyond the limit (``fits`` is false); an empty table has
-no shards. Columns besides key and text are ignored.
+no shards. Columns besides key and text are ignored; a key called like a column of the result comes out as ``<name>_key``.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from wickframe.llm.common import cut, table
 LIMIT = 64 * 1024 * 1024
 BITS = 60
 STEP = 10
+RESULT = ("h", "bytes", "shard", "depth", "shard_bytes", "fits")
 
 
 def key_hash(key: str) -> Column:
@@ -32,7 +33,7 @@ def key_hash(key: str) -> Column:
 def assign_shards(docs: DataFrame, key: str = "doc_id", size: Column | None = None, limit: int = LIMIT) -> DataFrame:
     """Key, hash, bytes, shard ('depth-prefix'), depth, bytes of the shard and whether it fits the limit."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)) if size is None else size
-    pending = cut(docs.select(F.col(key), key_hash(key).alias("h"), size.cast("bigint").alias("bytes")))
+    pending = cut(docs.select(F.col(key).alias("key"), key_hash(key).alias("h"), size.cast("bigint").alias("bytes")))
     done, low = [], 0
     while True:
         high = min(low + STEP, BITS)
@@ -59,7 +60,7 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", size: Column | None = No
     for d in done[1:]:
         out = out.unionByName(d)
     return out.select(
-        key,
+        F.col("key").alias(f"{key}_key" if key.lower() in RESULT else key),
         "h",
         "bytes",
         F.concat_ws("-", F.col("s.depth"), F.col("s.prefix")).alias("shard"),

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickframe.llm.common import cut, map_rows, table
+from wickframe.llm.common import cut, free_name, map_rows, table
 from wickframe.llm.components import connected_components
 
 SEGMENTS, BITS = 16, 4
@@ -118,15 +118,17 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest id (of equal ids, the smallest content hash).
 
-    Documents without an id are grouped by equal fingerprints only. Texts are shuffled once.
+    Documents without an id are grouped by equal fingerprints only; repeated rows leave one; further columns may
+    have any name. Texts are shuffled once.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
-    rows = keyed.select(F.col("doc_id").cast("bigint"), F.col("_key"), F.col("text").cast("binary"))
+    key = free_name(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64(*docs.columns))
+    rows = keyed.select(F.col("doc_id").cast("bigint"), F.col(key), F.col("text").cast("binary"))
     schema = "doc_id bigint, _key bigint, fp bigint"
     fp = cut(map_rows(rows, schema, lambda: lambda row: [(row[0], row[1], simhash(row[2]))]))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("_w")
     winners = fp.join(component_of(fp), "fp").groupBy(group.alias("_g")).agg(first)
     winners = winners.select(F.col("_w.doc_id").alias("_id"), F.col("_w._key").alias("_k"))
-    same = keyed.doc_id.cast("bigint").eqNullSafe(winners["_id"]) & (keyed["_key"] == winners["_k"])
-    return keyed.join(winners, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    same = keyed.doc_id.cast("bigint").eqNullSafe(winners["_id"]) & (keyed[key] == winners["_k"])
+    return keyed.join(winners, same, "left_semi").dropDuplicates(["doc_id", key]).select(*docs.columns)
