@@ -112,10 +112,13 @@ def _importance(spark, sf):
 
 
 def _tune(spark, sf):
-    r = m.cut(rows(spark, sf, 2)).filter("part = 'train'")
-    _, trials = m.tune_hyperparams(r, "forest", m.feature_columns(r, exclude=("y", "fold")), trials=3, startup=1, warmup=0)
-    flat = [(x["trial"], x["score"], x["pruned"], float(x["params"]["numTrees"]), float(x["params"]["maxDepth"])) for x in trials]
-    return spark.createDataFrame(flat, "trial long, score double, pruned boolean, num_trees double, max_depth double")
+    """All trials of both learners at the tuner's defaults, over three folds."""
+    r = m.cut(rows(spark, sf, 3).filter("part = 'train'"))
+    _, trials = m.tune_all(r, m.feature_columns(r, exclude=("y", "fold")))
+    flat = [(x["learner"], x["trial"], x["score"], x["pruned"], x["folds"], {k: float(v) for k, v in x["params"].items()}) for x in trials]
+    found = spark.createDataFrame(flat, "learner string, trial long, score double, pruned boolean, folds long, params map<string,double>")
+    names = {"maxIter": "rounds", "numTrees": "num_trees", "maxDepth": "max_depth", "stepSize": "step_size", "subsamplingRate": "subsampling"}
+    return found.select("learner", "trial", "score", "pruned", "folds", *[F.col("params")[k].alias(c) for k, c in names.items()])
 
 
 def _recursive(mode):

@@ -6,11 +6,11 @@ One model is trained over the rows of all series; every fit is a distributed Spa
 from __future__ import annotations
 
 import json
-import math
 import random
-import statistics
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from wickframe.operators.blocks import DEFAULT, Layout, drop_index, index_series
 from wickframe.operators.metrics import conformal_intervals, conformal_quantiles
+from wickframe.operators.search import Trial, ranked, suggest, worse_than_median
 from wickframe.operators.supervised import LAGS, ROLLS, SPANS, build_lag_features, feature_columns
 from wickframe.plans.lineage import cut
 from wickframe.schema import SERIES, TIME
@@ -138,38 +139,47 @@ def feature_importance(model: Stacking, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "learner string, feature string, importance double, rank long")
 
 
-def tune_hyperparams(rows: DataFrame, learner: str, features: list[str], trials: int = 10, seed: int = 42, startup: int = 5, warmup: int = 1):
-    """Seeded random search with expanding folds; a trial stops when it is worse than the median so far.
+def tune_hyperparams(
+    rows: DataFrame, learner: str, features: list[str], trials: int = 30, seed: int = 42, startup: int = 5, warmup: int = 1, side: int = 5
+) -> tuple[dict, list[dict]]:
+    """Adaptive search with expanding folds: best parameters and one record per trial.
 
-    Returns the best parameters and one record per trial.
+    ``side`` trials are fitted side by side, fold by fold; each is chosen from the trials of earlier rounds, and
+    stopped where its mean is worse than their median, so the result depends on the seed and not on timing.
+    Of equal scores the earlier trial wins; rows without any fold are an error.
     """
     rng = random.Random(seed)
     x = _assemble(rows, features)
     folds = [r[0] for r in rows.filter("fold > 0").select("fold").distinct().orderBy("fold").collect()]
-    seen: dict[int, list[float]] = {}
-    records = []
-    for t in range(trials):
-        params = {}
-        for name, (lo, hi, scale) in SPACE[learner].items():
-            if scale == "int":
-                params[name] = rng.randint(lo, hi)
-            elif scale == "log":
-                params[name] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                params[name] = rng.uniform(lo, hi)
-        scores, pruned = [], False
-        for step, k in enumerate(folds):
-            fitted = _learner(learner, params).fit(x.filter(F.col("fold") < k)).transform(x.filter(F.col("fold") == k))
-            scores.append(fitted.agg(F.sqrt(F.avg(F.pow(F.col(f"_{learner}") - F.col("y"), 2)))).first()[0])
-            mean = statistics.fmean(scores)
-            others = seen.get(step, [])
-            if t >= startup and step >= warmup and others and mean > statistics.median(others):
-                pruned = True
-                break
-            seen.setdefault(step, []).append(mean)
-        records.append({"trial": t, "params": params, "score": statistics.fmean(scores), "pruned": pruned})
-    best = min((r for r in records if not r["pruned"]), key=lambda r: r["score"])
-    return best["params"], records
+    if not folds:
+        raise ValueError("no fold to score on")
+
+    def score(params: dict, k: int) -> float:
+        fitted = _learner(learner, params).fit(x.filter(F.col("fold") < k)).transform(x.filter(F.col("fold") == k))
+        return fitted.agg(F.sqrt(F.avg(F.pow(F.col(f"_{learner}") - F.col("y"), 2)))).first()[0]
+
+    past: list[Trial] = []
+    with ThreadPool(side) as pool:
+        while len(past) < trials:
+            now = [Trial(len(past) + i, suggest(SPACE[learner], past, rng, startup)) for i in range(min(side, trials - len(past)))]
+            for k in folds:
+                alive = [t for t in now if not t.pruned]
+                scores = pool.map(inheritable_thread_target(rows.sparkSession)(lambda t: score(t.params, k)), alive)
+                for trial, value in zip(alive, scores):
+                    trial.scores.append(value)
+                    trial.pruned = k != folds[-1] and worse_than_median(trial, past, startup, warmup)
+            past += now
+    records = [{"trial": t.number, "params": t.params, "score": t.score, "pruned": t.pruned, "folds": len(t.scores)} for t in past]
+    return ranked(past)[0].params, records
+
+
+def tune_all(rows: DataFrame, features: list[str], **search) -> tuple[dict[str, dict], list[dict]]:
+    """Best parameters of both learners, as ``fit_stacking`` takes them, and the records of all trials."""
+    best, records = {}, []
+    for name in BASES:
+        best[name], found = tune_hyperparams(rows, name, features, **search)
+        records += [{"learner": name, **r} for r in found]
+    return best, records
 
 
 def save_model(model: Stacking, path: str) -> None:
