@@ -90,6 +90,30 @@ def test_recursive_forecast(model):
         m.recursive_forecast(fitted, df, 31)
 
 
+def test_recursive_forecast_equals_recomputation(spark, model):
+    """Every step's features over the whole history and all predictions so far; series longer than the state reaches."""
+    _, _, fitted = model
+    pdf = pd.concat([candle_rows(m.TAIL + 700, "A", seed=5), candle_rows(90, "B", seed=6), candle_rows(m.TAIL, "C", seed=7)])
+    pdf.loc[(pdf["symbol"] == "B") & (pdf["open_time"] == "2023-03-01"), "close"] = np.nan
+    got = m.recursive_forecast(fitted, spark.createDataFrame(pdf), 4, "full").toPandas().set_index(["symbol", "step"])["y_pred"]
+    whole = spark.createDataFrame(pdf)
+    lags = [x for x in fitted.features if x.startswith("close_")]
+    ends = [m.build_lag_features(x, drop_na=False).toPandas().sort_values("open_time").groupby("symbol").tail(1) for x in (whole, store.latest_n(whole, m.TAIL))]
+    a, b = (x.sort_values("symbol")[lags].to_numpy(float) for x in ends)
+    np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
+    now = pdf
+    for step in range(1, 5):
+        feats = m.build_lag_features(spark.createDataFrame(now), drop_na=False).fillna(0.0, fitted.features)
+        newest = now.groupby("symbol")["open_time"].max().rename("t").reset_index()
+        last = feats.join(spark.createDataFrame(newest), "symbol").filter("open_time = t")
+        made = m.predict_stacking(fitted, last).select("symbol", "y_pred").toPandas()
+        for symbol, y in zip(made["symbol"], made["y_pred"]):
+            assert got[symbol, step] == pytest.approx(y, rel=1e-9), (symbol, step)
+        added = now.sort_values("open_time").groupby("symbol").tail(1).merge(made, on="symbol")
+        added = added.assign(close=added["y_pred"], open_time=added["open_time"] + pd.Timedelta(days=1)).drop(columns="y_pred")
+        now = pd.concat([now, added])
+
+
 def write_in_parts(spark, pdf, path, parts):
     for i, part in enumerate(np.array_split(pdf, parts)):
         spark.createDataFrame(part.sample(frac=1, random_state=i)).coalesce(1).write.mode("append").parquet(path)

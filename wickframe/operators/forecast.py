@@ -23,7 +23,9 @@ from wickframe.operators.search import Trial, ranked, suggest, worse_than_median
 from wickframe.operators.supervised import LAGS, ROLLS, SPANS, build_lag_features, feature_columns
 from wickframe.plans.lineage import cut
 from wickframe.schema import SERIES, TIME
+from wickframe.sources.store import latest_n
 
+TAIL = max(*ROLLS, *LAGS, 36 * (max(SPANS) + 1))  # (1 - 2 / (span + 1)) ** (36 * (span + 1)) is about exp(-72)
 BASES = ("gbt", "forest")
 META = {"ridge": (None, 0.0), "lasso": (0.01, 1.0), "elasticnet": (0.01, 0.5)}
 DEFAULTS = {"gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}, "forest": {"numTrees": 20, "maxDepth": 6}}
@@ -214,13 +216,15 @@ def recursive_forecast(model: Stacking, history: DataFrame, steps: int = 7, mode
 
     ``reference``: of the lag features only those whose predecessor lag exists move on, all other
     features stay. ``full``: every lagged feature is recomputed from the predicted values.
-    The state is one row per series, so the loop over steps is cheap however many series there are.
+    The state is one row per series, so the loop over steps is cheap however many series there are. It is made of the
+    newest ``TAIL`` rows: what is older weighs less than 1e-31 in a weighted mean. Features that no row of them defines are 0.
     """
     check_request(steps)
     if mode not in ("reference", "full"):
         raise ValueError(f"unknown mode {mode}")
     t = model.target
-    feats = build_lag_features(history, t, drop_na=False, layout=layout)
+    recent = cut(latest_n(history.filter(F.col(TIME).isNotNull()), TAIL))
+    feats = build_lag_features(recent, t, drop_na=False, layout=layout)
     counted = index_series(feats, layout=layout, only=F.col("_total") >= 10)
     keep = max(max(LAGS) + 1, max(ROLLS))
     tail = counted.filter(F.col("_rn") >= F.col("_total") - keep)  # a few rows per series
