@@ -134,10 +134,10 @@ class Shard:
         self.weight = statistics.weights(np.repeat(self.term, df), tf, sizes[self.doc])
         self.docs = docs
 
-    def scores(self, seed: int, common: float = 1.0) -> np.ndarray:
+    def scores(self, seed: int) -> np.ndarray:
         """BM25 of all documents for the terms of ``seed``; terms of no other document add nothing to the others."""
         at = np.searchsorted(self.term, np.unique(self.docs[seed]))
-        at = at[(self.df[at] > 1) & (self.df[at] <= max(common * self.n, 2))]
+        at = at[self.df[at] > 1]
         if not len(at):
             return np.zeros(self.n)
         n = self.df[at]
@@ -377,9 +377,6 @@ def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: in
     return encoded.select("doc_id", "size", "ids").mapInArrow(run, schema)
 
 
-PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-
-
 def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
     """Pieces of all documents; ``with_ids`` adds the token ids of each piece."""
     schema = PIECES + (", ids array<int>" if with_ids else "")

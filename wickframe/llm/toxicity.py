@@ -1,6 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained. The toxic one holds the segments that set toxic text apart:
+Two zstandard dictionaries are made, not trained by zstandard on running text: such dictionaries, with windows of many
+words, do little better than chance here (the README has the figures). The toxic one holds the segments that set toxic text apart:
 starting from byte 5-grams that are significantly more frequent in toxic documents, the one in most documents
 is grown while its neighbours agree, its words are taken out, and so on until no gram is left. The
 ordinary one holds every piece of those segments that ordinary text uses too. The toxic dictionary
