@@ -231,6 +231,26 @@ def test_sharding_splits(spark):
     assert sorted((r.n_docs, r.fits) for r in rows) == [(1, True), (30, False)]
 
 
+def test_sharding_splits_a_hot_key(spark, tmp_path):
+    """A third of all rows under one key and many without any: split by content, as the SQL does; equal rows stay together."""
+    rows = [(7, f"{i} " + "x" * (i % 90)) for i in range(300)] + [(None, f"null {i}") for i in range(100)] + [(i, "y" * 50) for i in range(100, 300)] + [(9, "z" * 100)] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sharding.assign_shards(docs, limit=500).select("doc_id", "bytes", "shard", "depth", "shard_bytes", "fits")
+    view = duckdb.connect()
+    view.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    rel = view.execute(sharding.sharding_sql(500))
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of([d[0] for d in rel.description], rel.fetchall())
+    found = got.collect()
+    assert len(found) == len(rows) and {r.doc_id for r in found if not r.fits} == {9}
+    assert len({r.shard for r in found if r.doc_id == 7}) > 10
+
+
+def test_sharding_query_splits(spark):
+    parts = sharding.directory(sharding.op9_sharding(spark, SF)).collect()
+    assert len(parts) >= 24 and sum(r.n_docs for r in parts) == 1000
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://A.Example.NET/en/x", "http://net", "http://net/", "http://example.com/de/1?x#y", "http://x.org/fr/", "http://notnet.com/a/b/c/d/e", "x://h#f", "http://h?q=/net/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -252,6 +272,64 @@ def test_urls_of_a_large_host(spark):
     assert all(r.verdict == ("block" if r.page_id < 3000 else "allow") for r in got)
 
 
+def test_urls_of_deep_branches(spark, tmp_path):
+    """Rules and differences far below the root, paths that end inside others, unlabelled pages, hosts of one long path."""
+    rules = (("block", "deep.org", "/a/b/c/bad/x"), ("allow", "deep.org", "/a/b/c/good/x"), ("block", "mix.org", "/s/q"))
+    urls = [f"http://deep.org/a/b/c/{kind}/{leaf}" for kind in ("bad", "good") for leaf in [f"x{c}" for c in "abcdefghij" for _ in range(4)] + ["unlike"] * 20]
+    urls += ["http://deep.org/a/b/c/bad/other", "http://deep.org/a/b/c/good/other", "http://deep.org/a/b", "http://deep.org/a/b/c/bad", "http://deep.org", "http://deep.org/" + "/".join("uv" * 20)]
+    urls += [f"http://mix.org/s/{leaf}" for leaf in ("q", "r", "t") for _ in range(9)] + ["http://lone.org/" + "/".join("abc" * 30), None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, rules=rules).collect()}
+    want = plain_templates(pages, rules)
+    assert len(got) == len(urls)
+    assert {i: (r.template, r.purity) for i, r in got.items()} == want
+    judged = {urls[i]: r.verdict for i, r in got.items() if r.rule is None}
+    assert judged["http://deep.org/a/b/c/bad/other"] == "block" and judged["http://deep.org/a/b/c/good/other"] == "allow"
+    assert judged["http://deep.org/a/b/c/bad/unlike"] == "allow"  # frequent, and unlike the blocked branches beside it
+    assert judged["http://lone.org/" + "/".join("abc" * 30)] == "allow"
+
+
+def plain_templates(pages, rules):
+    """The tree walked segment by segment, one host after the other."""
+    host, path = url_filter.split_url(url_filter.F.col("url"))
+    name, action = url_filter.matching_rule(host, path, rules)
+    rows = pages.select("page_id", host, url_filter.path_shape(path), action).collect()
+    hosts, templates = defaultdict(list), {}
+    for i, h, shape, act in rows:
+        hosts[h].append((i, [s for s in shape.split("/") if s], act))
+
+    def walk(members, depth, template):
+        branches = defaultdict(list)
+        for m in members:
+            branches[m[1][depth] if depth < len(m[1]) else ""].append(m)
+        pn, pb = len(members), sum(m[2] == "block" for m in members)
+        merged = []
+        for seg, part in branches.items():
+            n, b = len(part), sum(m[2] == "block" for m in part)
+            alike = pb in (0, pn) or (b * (pn - n) - (pb - b) * n) ** 2 * pn < url_filter.Z2 * pb * (pn - pb) * n * (pn - n)
+            if seg == "":
+                templates.update((m[0], template) for m in part)
+            elif alike and len(branches.keys() - {""}) > 1:
+                merged += part
+            else:
+                walk(part, depth + 1, f"{template}/{seg}")
+        if merged:
+            walk(merged, depth + 1, f"{template}/**")
+
+    out = {}
+    for members in hosts.values():
+        walk(members, 0, "")
+        share = sum(m[2] == "block" for m in members) / len(members)
+        seen = defaultdict(Counter)
+        for m in members:
+            seen[templates[m[0]]][m[2]] += 1
+        for m in members:
+            c = seen[templates[m[0]]]
+            labelled = c["block"] + c["allow"]
+            out[m[0]] = (templates[m[0]], round((c["block"] + 10 * share) / (labelled + 10), 9) if labelled else None)
+    return out
+
+
 def test_warc(spark, tmp_path):
     rows = [(i, f"http://h/{i}\n", "é" * (i % 7) if i % 5 else None, i) for i in range(300)] + [(None, None, "only", 1), (-4, "u", "x" * 400_000, 2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, frame int")
@@ -330,3 +408,15 @@ def test_language_of_long_texts_only(spark):
     assert net.languages == ["aa", "zz"]
     texts = ["edcba abc", "zyx wvv zzy"]
     assert [p[0] for p in language.predictor(net)([t.encode() for t in texts])] == ["aa", "zz"]
+
+
+def test_languages_beyond_the_sample(spark):
+    """More languages than the sample has rows for at full size: each is still learned."""
+    docs = spark.createDataFrame([(i, f"word{i % 30} text", f"l{i % 30:02}", "s", 1) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert len(language.learn(docs, rows=60).languages) == 30
+    assert len(language.learn(docs, rows=10).languages) == 10
+
+
+def test_language_stage_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "123 !", None), (3, None, None), (4, "\u0436", None)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in language.keep_known_languages(docs).collect()) == [1, 4]

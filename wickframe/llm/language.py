@@ -168,32 +168,36 @@ def training_windows(texts: list[bytes], labels: list[int], per_text: int = 4, s
     return np.frombuffer(b"".join(x), np.uint8).reshape(-1, WINDOW), np.array(y, np.int64)
 
 
-def learn(docs: DataFrame, allowed: Column | None = None, per_language: int = 400, max_bytes: int = 16_384, languages: int = 200) -> ByteNet | None:
-    """Train on a bounded sample of labelled rows.
+def learn(docs: DataFrame, allowed: Column | None = None, per_language: int = 400, max_bytes: int = 16_384, rows: int = 80_000) -> ByteNet | None:
+    """Train on a bounded sample of at most ``rows`` labelled rows.
 
-    For each of at most ``languages`` (the most frequent) languages, up to ``per_language`` documents that are not empty,
-    the first by a hash of their id. Of a text with more than ``max_bytes / 4`` characters a piece of that length is taken,
+    Of every language, up to ``per_language`` documents that are not empty, the first by a hash of their id; fewer of each where there
+    are more than ``rows / per_language`` languages, so a rare one is learned too (only of more than ``rows`` languages some are not). Of
+    a text with more than ``max_bytes / 4`` characters a piece of that length is taken,
     from a place that the id's hash picks, so a language of long texts only is learned too. Rows of one id and language teach once, the smallest piece. ``allowed`` says which rows may be used.
     """
     allowed = F.lit(True) if allowed is None else allowed
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & allowed)
     usable = usable.filter(F.octet_length("text") > 0)
-    found = [r[0] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    found = usable.select(F.count_distinct("lang")).first()[0]
     if not found:
         return None
+    each = max(1, min(per_language, rows // found))
     window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # a limit per group: pruned before the shuffle
-    ids = usable.filter(F.col("lang").isin(found)).select("doc_id", "lang").withColumn("_n", F.row_number().over(window))
-    picked = ids.filter(F.col("_n") <= per_language).select("doc_id", "lang").distinct()
+    ids = usable.select("doc_id", "lang").withColumn("_n", F.row_number().over(window))
+    picked = ids.filter(F.col("_n") <= each).select("doc_id", "lang").distinct()
+    if found > rows:
+        picked = picked.orderBy(F.xxhash64("lang"), "lang").limit(rows)
     size = max(max_bytes // 4, 1)
     start = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - size + 1, F.lit(1)))
     pieces = usable.select("doc_id", "lang", F.substring("text", start.cast("int"), F.lit(size)).alias("text"))
-    rows = pieces.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")  # languages x per_language ids
-    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    names = sorted({r["lang"] for r in rows})
+    taught = pieces.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")  # at most ``rows`` ids
+    taught = taught.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+    taught.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
+    names = sorted({r["lang"] for r in taught})
     if not names:
         return None
-    x, y = training_windows([r["text"].encode("utf-8", "replace") for r in rows], [names.index(r["lang"]) for r in rows])
+    x, y = training_windows([r["text"].encode("utf-8", "replace") for r in taught], [names.index(r["lang"]) for r in taught])
     if not len(x):
         return None
     return ByteNet.new(names).train(x, y)
@@ -240,7 +244,7 @@ def keep_known_languages(docs: DataFrame, languages: list[str] | None = None, ro
     """Rows whose predicted language is one of ``languages``.
 
     By default all learned ones count: then only texts without letters are dropped, since every text with
-    letters gets a learned language, also noise and unknown scripts.
+    letters gets a learned language, also noise and unknown scripts; so it is, too, when there is nothing to learn from.
     """
     net = learn(docs)
     wanted = languages
@@ -251,10 +255,13 @@ def keep_known_languages(docs: DataFrame, languages: list[str] | None = None, ro
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 texts = part.column(part.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-                found = [f[0] for f in predict(texts)]
-                yield part.filter(pa.array([f != UNKNOWN and (wanted is None or f in wanted) for f in found], pa.bool_()))
+                if net is None and wanted is None:
+                    keep = [bool(t) and has_letter(t) for t in texts]
+                else:
+                    keep = [f != UNKNOWN and (wanted is None or f in wanted) for f, _ in predict(texts)]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema) if net is not None else docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_language(spark, sf_dir: str) -> DataFrame:
