@@ -14,6 +14,7 @@ from wickframe.schema import CANDLE, OHLCV, SERIES, TIME
 from wickframe.sources import store
 from wickframe.sources.adapters import bars_1h, bars_1m, dirty_bars
 from wickframe.streaming import candles as s
+from wickframe.streaming import carried
 
 
 def scratch(spark):
@@ -33,6 +34,19 @@ def through(spark, make, df=None, source=None):
     return spark.read.parquet(f"{d}/out")
 
 
+def through_carried(spark, df, step, parts=3):
+    """Results of a stream that gets the rows of ``df`` in time order, in ``parts`` runs that go on from each other's state."""
+    d = scratch(spark)
+    ms = F.unix_millis(TIME)
+    low, high = df.agg(F.min(ms), F.max(ms)).first()
+    for i in range(parts):
+        part = F.lit(True) if low is None else F.floor((ms - low) * parts / (high - low + 1)) == i
+        df.filter(part).write.mode("append").parquet(f"{d}/in")
+        stream = spark.readStream.schema(df.schema).parquet(f"{d}/in")
+        carried.run_carried(stream, step, f"{d}/out", f"{d}/state", f"{d}/cp")
+    return spark.read.option("mergeSchema", "true").parquet(f"{d}/out").drop("batch")
+
+
 def events(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -61,9 +75,9 @@ QUERIES = {
     "stream_bars": lambda x, d: out(through(x, s.stream_bars, source=events(x, d))),
     "stream_clean": lambda x, d: out(through(x, s.stream_clean, dirty_bars(x, d)).select(*SERIES, TIME)),
     "stream_upsert": lambda x, d: out(_upsert(x, d)),
-    "stream_indicators": lambda x, d: out(through(x, s.stream_indicators, bars_1h(x, d))),
-    "stream_gaps": lambda x, d: out(through(x, s.stream_gaps, bars_1m(x, d))),
-    "stream_anomaly": lambda x, d: out(through(x, s.stream_anomaly, bars_1h(x, d))),
+    "stream_indicators": lambda x, d: out(through_carried(x, bars_1h(x, d), carried.indicators_step()).select(*SERIES, TIME, "late", *IND)),
+    "stream_gaps": lambda x, d: out(carried.gaps(through_carried(x, bars_1m(x, d), carried.gaps_step()))),
+    "stream_anomaly": lambda x, d: out(carried.alerts(through_carried(x, bars_1h(x, d), carried.anomaly_step()))),
     "stream_latest": lambda x, d: out(_latest(x, d)),
 }
 
