@@ -159,6 +159,21 @@ def test_byte_bpe(docs):
     assert sorted(table.index(list(ranks)).tolist()) == list(range(len(ranks)))
 
 
+def test_byte_bpe_merges_side_by_side():
+    """Pieces of all widths, ties and overlaps included, as the linked list and heap merge them; one lookup for all texts."""
+    bpe = byte_bpe.ByteBpe(byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    raws = [bytes(rng.choice(b"etaoin sh\xc3\xa9\x00\xff") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    raws += [c * n for c in (b"a", b"th", b"\xff") for n in range(70)]
+    assert bpe.merge_all(raws) == [bpe.merge(r) for r in raws]
+    texts = [" ".join(rng.choice("thaeion") * rng.randint(1, 9) + str(i) for _ in range(20)) for i in range(50)]
+    calls, lookup = [], bpe.hash.index
+    bpe.hash.index = lambda keys: calls.append(len(keys)) or lookup(keys)
+    together = bpe.encode_all(texts)
+    assert len(calls) == 1
+    assert together == [bpe.encode(t) for t in texts]
+
+
 def test_winnowing(docs):
     def plain(text, k=winnowing.K, w=winnowing.W):
         h, out = winnowing.gram_hashes(text, k).tolist(), []

@@ -72,6 +72,21 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[tuple], li
     return df.mapInArrow(run, schema)
 
 
+def text_groups(batch: pa.RecordBatch, rows: int = 512, characters: int = 4 << 20) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts (null: empty) of parts of a batch with a bounded number of rows and characters (one row at least)."""
+    ids, texts, size = [], [], 0
+    for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        value = text.as_py() or ""
+        if ids and (len(ids) >= rows or size + len(value) > characters):
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(i)
+        texts.append(value)
+        size += len(value)
+    if ids:
+        yield ids, texts
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers live on between tasks."""
     gc.collect()

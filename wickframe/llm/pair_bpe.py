@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.llm.byte_bpe import SPACE
-from wickframe.llm.common import arrow_schema, give_back, table
+from wickframe.llm.common import arrow_schema, give_back, table, text_groups
 from wickframe.llm.memo import Memo
 
-#: Rows and bytes of text that are indexed together.
-ROWS, BYTES = 512, 4 << 20
+#: Rows of ids that are decoded together.
+ROWS = 512
 
 
 def byte_letters() -> list[str]:
@@ -192,21 +192,6 @@ class PairIndexBpe:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Parts of a batch with a bounded number of rows and characters (one row at least)."""
-    ids, texts, size = [], [], 0
-    for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        value = text.as_py() or ""
-        if ids and (len(ids) >= ROWS or size + len(value) > BYTES):
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(i)
-        texts.append(value)
-        size += len(value)
-    if ids:
-        yield ids, texts
-
-
 def _per_document(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
     """``row(bpe, doc_id, ids)`` for every document."""
     fields = arrow_schema(schema)
@@ -214,7 +199,7 @@ def _per_document(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = PairIndexBpe(path)
         for batch in batches:
-            for ids, texts in _groups(batch):
+            for ids, texts in text_groups(batch):
                 rows = [row(bpe, i, found) for i, found in zip(ids, bpe.encode_all(texts))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
         del bpe
