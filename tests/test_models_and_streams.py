@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime
 
 import numpy as np
@@ -68,6 +69,30 @@ def model(spark):
     return df, rows, m.calibrate(fitted, rows.filter("part = 'calibration'"))
 
 
+def test_learners_are_fitted_side_by_side(model, monkeypatch):
+    """No fit waits for the end of another one, and the models equal those fitted one after the other."""
+    _, rows, fitted = model
+    small = {"gbt": {"maxIter": 2, "maxDepth": 2}, "forest": {"numTrees": 3, "maxDepth": 3}}
+    train, real, both = rows.filter("part = 'train'"), m._learner, threading.Barrier(2, timeout=60)
+
+    class Waiting:
+        def __init__(self, *args):
+            self.learner = real(*args)
+
+        def fit(self, x):
+            both.wait()
+            return self.learner.fit(x)
+
+    x = m._assemble(train, fitted.features)
+    alone = [real(n, small[n]).fit(x.filter(f"fold < {k}")).toDebugString for k in (1, 2) for n in m.BASES]
+    monkeypatch.setattr(m, "_learner", Waiting)
+    again = m.fit_stacking(train, params=small)
+    assert [again.bases[n].toDebugString.split("\n")[1:] for n in m.BASES] == [real(n, small[n]).fit(x).toDebugString.split("\n")[1:] for n in m.BASES]
+    models = m._fit_learners(x, [(n, k) for k in (1, 2) for n in m.BASES], small)
+    assert [models[n, k].toDebugString.split("\n")[1:] for k in (1, 2) for n in m.BASES] == [t.split("\n")[1:] for t in alone]
+    assert again.meta.coefficients == fitted.meta.coefficients
+
+
 def test_model_round_trip(spark, model, tmp_path):
     _, rows, fitted = model
     m.save_model(fitted, str(tmp_path / "m"))

@@ -27,6 +27,7 @@ from wickframe.sources.store import latest_n
 
 TAIL = max(*ROLLS, *LAGS, 36 * (max(SPANS) + 1))  # (1 - 2 / (span + 1)) ** (36 * (span + 1)) is about exp(-72)
 BASES = ("gbt", "forest")
+SIDE = 6  # learners fitted side by side: each fit is a chain of many short jobs
 META = {"ridge": (None, 0.0), "lasso": (0.01, 1.0), "elasticnet": (0.01, 0.5)}
 DEFAULTS = {"gbt": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}, "forest": {"numTrees": 20, "maxDepth": 6}}
 # Search ranges of the tuner (low, high, scale).
@@ -74,20 +75,45 @@ def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error").transform(df)
 
 
-def oof_predictions(rows: DataFrame, features: list[str], params: dict | None = None) -> DataFrame:
-    """Out-of-fold predictions of both learners for the rows with a fold number above 0."""
-    params, out = params or {}, None
-    x = _assemble(rows, features)
-    folds = [r[0] for r in rows.filter("fold > 0").select("fold").distinct().orderBy("fold").collect()]
+def _folds(rows: DataFrame) -> list[int]:
+    return [r[0] for r in rows.filter("fold > 0").select("fold").distinct().orderBy("fold").collect()]
+
+
+def _fit_learners(x: DataFrame, wanted: list[tuple[str, int | None]], params: dict) -> dict:
+    """Fitted learners by (name, fold): on the rows before the fold, or on all rows without one.
+
+    The fits do not depend on each other, so ``SIDE`` run at a time; each reads the same kept inputs in the same parts.
+    """
+    kept = x.select("_x", "y", "fold").persist()
+
+    def fit(name: str, k: int | None):
+        return _learner(name, params.get(name, {})).fit(kept if k is None else kept.filter(F.col("fold") < k))
+
+    order = sorted(wanted, key=lambda w: (w[0] != BASES[0], w[1] is not None, -(w[1] or 0)))  # the longest fits first
+    try:
+        with ThreadPool(SIDE) as pool:
+            fits = pool.map(inheritable_thread_target(x.sparkSession)(lambda w: fit(*w)), order, chunksize=1)
+    finally:
+        kept.unpersist()
+    return dict(zip(order, fits))
+
+
+def _out_of_fold(x: DataFrame, folds: list[int], models: dict) -> DataFrame:
+    out = None
     for k in folds:
         part = x.filter(F.col("fold") == k)
         for name in BASES:
-            model = _learner(name, params.get(name, {})).fit(x.filter(F.col("fold") < k))
-            part = model.transform(part)
+            part = models[name, k].transform(part)
         out = part if out is None else out.unionByName(part)
     return out.drop("_x").withColumnsRenamed({f"_{n}": f"oof_{n}" for n in BASES})
 
 
+def oof_predictions(rows: DataFrame, features: list[str], params: dict | None = None) -> DataFrame:
+    """Out-of-fold predictions of both learners for the rows with a fold number above 0."""
+    x, folds = _assemble(rows, features), _folds(rows)
+    return _out_of_fold(x, folds, _fit_learners(x, [(n, k) for k in folds for n in BASES], params or {}))
+
+
 def oof_scores(oof: DataFrame) -> DataFrame:
     """RMSE of every learner per fold."""
     return oof.groupBy("fold").agg(
@@ -99,7 +125,9 @@ def fit_stacking(rows: DataFrame, target: str = "close", meta: str = "ridge", pa
     """Fit the meta learner on out-of-fold predictions, refit the base learners on all given training rows."""
     params = params or {}
     features = features or feature_columns(rows, target, exclude=("y", "fold"))
-    oof = cut(oof_predictions(rows, features, params))
+    x, folds = _assemble(rows, features), _folds(rows)
+    models = _fit_learners(x, [(n, k) for k in [None, *folds] for n in BASES], params)
+    oof = cut(_out_of_fold(x, folds, models))
     scores = [r.asDict() for r in oof_scores(oof).orderBy("fold").collect()]
     stacked = VectorAssembler(inputCols=[f"oof_{n}" for n in BASES], outputCol="_m").transform(oof)
     reg, mix = META[meta]
@@ -107,8 +135,7 @@ def fit_stacking(rows: DataFrame, target: str = "close", meta: str = "ridge", pa
         reg = 1.0 / max(sum(s["n"] for s in scores), 1)
     linear = LinearRegression(featuresCol="_m", labelCol="y", predictionCol="y_pred", regParam=reg, elasticNetParam=mix, standardization=False)
     meta_model = linear.fit(stacked)
-    x = _assemble(rows, features)
-    bases = {n: _learner(n, params.get(n, {})).fit(x) for n in BASES}
+    bases = {n: models[n, None] for n in BASES}
     return Stacking(features, bases, meta_model, target, scores)
 
 
