@@ -146,6 +146,35 @@ def test_packing_finds_neighbours_anywhere(spark):
     assert {r.doc_id for r in got} == set(range(400)) and np.mean(pairs) > 0.4
 
 
+def test_packing_drops_postings_of_used_documents():
+    """The order is that of a search over all postings, and the index shrinks on the way."""
+    rng = random.Random(3)
+    docs = [np.array([rng.randint(2, 60) for _ in range(rng.randint(1, 50))] + [1], "<u4") for _ in range(300)]
+    whole, seed, filled, want = packing.Shard(docs), None, 0, []
+    while len(want) < len(docs):
+        opens = seed is None
+        if opens:
+            seed = next(i for i in range(len(docs)) if i not in want)
+            near = [seed]
+        else:
+            found = whole.scores(seed)
+            near = [i for i in np.argsort(-found, kind="stable").tolist() if found[i] > 0 and i not in want]
+        for i in near:
+            want.append(i)
+            filled += len(docs[i])
+            if filled >= 100:
+                filled %= 100
+                fresh = i if filled else None
+                break
+        else:
+            fresh = seed if opens else None
+        seed = fresh
+    shard = packing.Shard(docs)
+    postings = len(shard.doc)
+    assert list(shard.order(100)) == want
+    assert len(shard.doc) < postings / 2
+
+
 def test_byte_bpe(docs):
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

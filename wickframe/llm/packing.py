@@ -6,7 +6,7 @@ likeness, wherever they lie: a tree of two-means splits is grown on a sample of
 every document descends it, and leaves side by side fill a shard. A leaf too large for one shard whose
 documents the tree cannot tell apart (copies) is dealt over several. A task builds a BM25 inverted index over
 each shard and packs it: the first unused document is the seed of a window, and the unused documents that
-score best for the seed's terms, common ones included, follow until the window is full. A document that does not fit is cut,
+score best for the seed's terms, common ones included, follow until the window is full. Postings of used documents leave the index now and then. A document that does not fit is cut,
 and its rest is the seed of the next window. What is left at the end of a shard goes into sequences whose lengths are
 powers of two, so nothing is padded. Neighbours in another shard are not found; the README has the measured
 share. Tokens are written to the shared folder and shuffled once, and jobs run when the function is called.
@@ -127,6 +127,10 @@ class Shard:
         self.term, first, df = np.unique(pairs // max(self.n, 1), return_index=True, return_counts=True)
         self.first, self.df = first, df
         self.doc = pairs % max(self.n, 1)
+        # terms of each document, as places in ``term``
+        numbers = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        self.terms = np.split(numbers[np.argsort(self.doc, kind="stable")], np.bincount(self.doc, minlength=self.n).cumsum()[:-1])
+        self.last = first + df
         if statistics is None:
             own = np.zeros(int(self.term[-1]) + 1 if len(self.term) else 0, np.int64)
             own[self.term] = df
@@ -136,18 +140,24 @@ class Shard:
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all documents for the terms of ``seed``; terms of no other document add nothing to the others."""
-        at = np.searchsorted(self.term, np.unique(self.docs[seed]))
+        at = self.terms[seed]
         at = at[self.df[at] > 1]
         if not len(at):
             return np.zeros(self.n)
-        n = self.df[at]
-        rows = np.repeat(self.first[at] - (n.cumsum() - n), n) + np.arange(n.sum())
-        return np.bincount(self.doc[rows], self.weight[rows], self.n)
+        parts = list(map(slice, self.first[at].tolist(), self.last[at].tolist()))
+        return np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.n)
+
+    def drop(self, used: np.ndarray) -> None:
+        """Leave out the postings of used documents, which no search asks for again."""
+        kept = ~used[self.doc]
+        ends = np.append(0, kept.cumsum())
+        self.first, self.last = ends[self.first], ends[self.last]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
 
     def order(self, window: int = WINDOW):
         """Documents in packing order: best unused neighbours of each window's seed."""
         used = np.zeros(self.n, bool)
-        next_seed, filled = 0, 0
+        next_seed, filled, free, indexed = 0, 0, self.n, self.n
         seed = None
         while True:
             if seed is None:
@@ -157,12 +167,16 @@ class Shard:
                     return
                 seed = next_seed
                 used[seed] = True
+                free -= 1
                 yield seed
                 filled += len(self.docs[seed])
                 if filled >= window:
                     filled %= window
                     seed = seed if filled else None  # its rest opens a window
                     continue
+            if free < 0.8 * indexed:
+                self.drop(used)
+                indexed = free
             found = self.scores(seed)
             found[used] = -1
             near = np.argsort(-found, kind="stable")[: window]
@@ -170,6 +184,7 @@ class Shard:
             fresh = seed
             for i in near.tolist():
                 used[i] = True
+                free -= 1
                 yield i
                 filled += len(self.docs[i])
                 if filled >= window:
