@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -146,6 +147,27 @@ def test_packing_finds_neighbours_anywhere(spark):
     assert {r.doc_id for r in got} == set(range(400)) and np.mean(pairs) > 0.4
 
 
+def test_frequent_terms_are_scored_at_once():
+    """Postings of frequent terms are not searched, and the scores are those of a search of all postings."""
+    rng = np.random.default_rng(5)
+    docs = [np.append(rng.zipf(1.3, rng.integers(1, 80)) % 500 + 2, 1).astype("<u4") for _ in range(200)]
+    shard, plain = packing.Shard(docs), packing.Shard(docs)
+    plain.rare, plain.common = plain.df > 1, np.zeros((0, 0))
+    assert shard.df[shard.rare].sum() < plain.df[plain.rare].sum() / 2
+    assert all(np.array_equal(shard.scores(i), plain.scores(i)) for i in range(200))
+    assert list(shard.order(100)) == list(plain.order(100))
+
+
+def test_terms_are_counted_together():
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 300, n).astype("<u2") for n in (1, 40, 3, 500)]
+    sizes = pa.array([len(d) for d in docs])
+    for kind in ("<u2", "<u4"):
+        starts, ids = packing.ids_of(sizes, pa.array([d.astype(kind).tobytes() for d in docs], pa.binary()))
+        row, term, tf = packing.count_terms(starts, ids)
+        assert list(zip(row.tolist(), term.tolist(), tf.tolist())) == [(i, t, n) for i, d in enumerate(docs) for t, n in sorted(Counter(d.tolist()).items())]
+
+
 def test_packing_drops_postings_of_used_documents():
     """The order is that of a search over all postings, and the index shrinks on the way."""
     rng = random.Random(3)

@@ -38,3 +38,8 @@ class Memo(dict):
         if value is not None:
             self[key] = value
         return value is not None
+
+    def forget(self) -> None:
+        """Drop both generations."""
+        self._old = {}
+        self.clear()

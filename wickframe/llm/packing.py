@@ -12,8 +12,10 @@ powers of two, so nothing is padded. Neighbours in another shard are not found;
 share. Tokens are written to the shared folder and shuffled once, and jobs run when the function is called.
 
 The tokenizer splits at white space, and between a letter and the punctuation behind it, before it
-merges anything. So a text is split there, and each different piece is encoded by the tokenizer
-once and remembered; texts with marks of special tokens are encoded whole.
+merges anything. So the texts of a part of a batch are split there together, each different word gets its ids once
+(``pair_bpe``, whose ids are those of the tokenizers library), and they are put back at all its places.
+In a shard of ``MATRIX`` documents the terms that many documents hold are scored by one product of matrices, the others
+from their postings; weights are multiples of 2**-36, so a sum is the same in any order.
 
 Nulls, ties and edge cases: a null text is an empty one and has only the end token; equal scores go
 to the document that comes first; repeated rows are packed each; a very long document fills whole
@@ -22,8 +24,6 @@ windows of its own; columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.llm.common import arrow_schema, give_back, shared_folder, table
+from wickframe.llm.pair_bpe import encoder
+from wickframe.llm.words import bytes_of, large_binary, parts, rows_of
 
 WINDOW = 2048
 END = 1
@@ -43,61 +45,25 @@ LEAF = 0.25  # tokens of a leaf of the routing tree, in shards
 SAMPLE = 100  # documents a shard that the tree is grown on, at least 5,000 in all and at most 200,000
 DIMS = 128  # of the projected vectors
 K1, B = 1.2, 0.75
-MEMO = 200_000  # pieces remembered, in two generations
-CUT = re.compile(rb"(?<=[a-z])(?=[.,*$%&#!?;:)])")
-PURE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+EXACT = 2.0**-36  # weights are multiples of it
+MATRIX, FREQUENT, COLUMNS = (64, 3000), 12, 512  # documents of a shard whose frequent terms (in one of twelve) are scored at once, so many terms a product
+ROWS = 512  # documents whose stored ids are counted together
 
 
 class PieceEncoder:
     """Exact ids of texts (UTF-8 bytes in, little-endian unsigned 32-bit ids out)."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _whole(self, text: bytes) -> bytes:
-        ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        if len(self.young) > MEMO:
-            self.young, self.old = {}, self.young
-        new = pieces.difference(self.young)
-        if self.old:
-            known = new.intersection(self.old)
-            self.young.update((p, self.old[p]) for p in known)
-            new -= known
-        pure = [p for p in new if PURE.fullmatch(p)]
-        for i in range(0, len(pure), 500):  # words of letters only: many at once, told apart by their last ids
-            part = pure[i : i + 500]
-            text = b" ".join(part).decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):
-                self.young.update((p, self._whole(p)) for p in part)
-                continue
-            at = 0
-            raw = ids.tobytes()
-            for p, stop in zip(part, (4 * stops).tolist()):
-                self.young[p] = raw[at:stop]
-                at = stop
-        rest = list(new.difference(pure))
-        if rest:
-            found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in rest], add_special_tokens=False)
-            self.young.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
+        self.bpe = encoder(path)
+        self.size = max(self.bpe.tokens) + 1  # ids are below it
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [None if b"<|" in t else CUT.sub(b" ", t.lower()).split() for t in texts]
-        self._learn(set().union(*(s for s in split if s is not None)))
-        ids = self.young.__getitem__
-        return [self._whole(t) if s is None else b"".join(map(ids, s)) for t, s in zip(texts, split)]
+        return rows_of(self.bpe.encode_array(pa.array(texts, pa.large_binary())))
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids begin, and all ids, each text's with the end token."""
+        offsets, ids = bytes_of(self.bpe.encode_array(texts, np.array([END], "<u4").tobytes()))
+        return offsets // 4, ids.view("<u4")
 
 
 @dataclass
@@ -135,17 +101,40 @@ class Shard:
             own = np.zeros(int(self.term[-1]) + 1 if len(self.term) else 0, np.int64)
             own[self.term] = df
             statistics = Statistics(max(self.n, 1), max(int(sizes.sum()), 1), own)
-        self.weight = statistics.weights(np.repeat(self.term, df), tf, sizes[self.doc])
+        # multiples of a power of two, whose sums are exact in any order
+        self.weight = np.rint(statistics.weights(np.repeat(self.term, df), tf, sizes[self.doc]) / EXACT) * EXACT
         self.docs = docs
+        self.rare = df > 1
+        self.common = np.zeros((self.n, 0))
+        if MATRIX[0] <= self.n <= MATRIX[1]:
+            self._multiply(numbers)
+
+    def _multiply(self, numbers: np.ndarray) -> None:
+        """``common``: the scores of all documents for the frequent terms of all documents, as one product of matrices."""
+        often = np.flatnonzero(self.df * FREQUENT > self.n)
+        self.rare[often] = False
+        self.common = np.zeros((self.n, self.n))
+        column = np.full(len(self.df), -1)
+        for at in range(0, len(often), COLUMNS):
+            some = often[at : at + COLUMNS]
+            column[some] = np.arange(len(some))
+            here = np.flatnonzero(column[numbers] >= 0)
+            doc, place = self.doc[here], column[numbers[here]]
+            held, weights = np.zeros((self.n, len(some))), np.zeros((len(some), self.n))
+            held[doc, place] = 1
+            weights[place, doc] = self.weight[here]
+            self.common += held @ weights
+            column[some] = -1
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all documents for the terms of ``seed``; terms of no other document add nothing to the others."""
         at = self.terms[seed]
-        at = at[self.df[at] > 1]
+        at = at[self.rare[at]]
+        known = self.common[seed] if self.common.size else np.zeros(self.n)
         if not len(at):
-            return np.zeros(self.n)
+            return known.copy()
         parts = list(map(slice, self.first[at].tolist(), self.last[at].tolist()))
-        return np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.n)
+        return np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.n) + known
 
     def drop(self, used: np.ndarray) -> None:
         """Leave out the postings of used documents, which no search asks for again."""
@@ -179,10 +168,8 @@ class Shard:
                 indexed = free
             found = self.scores(seed)
             found[used] = -1
-            near = np.argsort(-found, kind="stable")[: window]
-            near = near[found[near] > 0]
             fresh = seed
-            for i in near.tolist():
+            for i in best(found, window):
                 used[i] = True
                 free -= 1
                 yield i
@@ -196,6 +183,18 @@ class Shard:
             seed = fresh
 
 
+def best(found: np.ndarray, most: int):
+    """Places of the highest scores above 0, the first of equal ones first."""
+    for _ in range(min(most, 8)):  # a window rarely takes more
+        i = int(found.argmax())
+        if found[i] <= 0:
+            return
+        found[i] = -1
+        yield i
+    near = np.argsort(-found, kind="stable")[: max(most - 8, 0)]
+    yield from near[found[near] > 0].tolist()
+
+
 def pack(docs: list[tuple[int, bytes]], statistics: Statistics | None = None):
     """Documents (id, ids as bytes, with the end token) -> pieces (id, start, ids, size, sequence, offset)."""
     shard = Shard([np.frombuffer(d, "<u4") for _, d in docs], statistics)
@@ -228,22 +227,29 @@ def tokens_of(ids: bytes, size: int) -> np.ndarray:
     return np.frombuffer(ids, f"<u{len(ids) // size}").astype("<u4")
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, rows: int = 128) -> DataFrame:
+def ids_of(sizes: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the stored ids of each row begin, and all ids."""
+    starts = np.append(0, np.cumsum(sizes.to_numpy()))
+    _, flat = bytes_of(ids)
+    return starts, flat.view(f"<u{len(flat) // max(int(starts[-1]), 1) or 4}")
+
+
+def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, tokens with the end token, and their ids; written to the shared folder and read again."""
     schema = "doc_id bigint, size bigint, ids binary"
     fields = arrow_schema(schema)
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer_path)
-        kind = "<u2" if len(encoder.ends) <= 1 << 16 else "<u4"
-        end = np.array([END], kind).tobytes()
+        pieces = PieceEncoder(tokenizer_path)
+        kind = "<u2" if pieces.size <= 1 << 16 else "<u4"
+        width = np.dtype(kind).itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                keys, texts = batch.slice(at, rows).columns
-                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encoder.encode([t or b"" for t in texts.to_pylist()])]
-                columns = [keys, pa.array([len(i) // len(end) for i in ids]), pa.array(ids, pa.binary())]
+            for at, stop in parts(batch.column(1)):
+                keys, texts = batch.slice(at, stop - at).columns
+                starts, ids = pieces.encode_array(texts)
+                columns = [keys, pa.array(np.diff(starts)), large_binary(starts * width, ids.astype(kind))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, fields)], schema=fields)
-        del encoder
+        pieces.bpe.memo.forget()
         give_back()
 
     path = f"{shared_folder(docs.sparkSession)}/packing-{uuid.uuid4().hex}"
@@ -252,6 +258,16 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, rows: int = 128) -> D
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
+def count_terms(starts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different terms of each row, ascending: row, term and how often it is there."""
+    bits, kind = (16, np.uint32) if ids.itemsize == 2 and len(starts) <= 1 << 16 else (32, np.uint64)
+    row = np.repeat(np.arange(len(starts) - 1, dtype=kind), np.diff(starts))
+    keys = np.sort((row << kind(bits)) | ids)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    keys = keys[first]
+    return (keys >> kind(bits)).astype(np.int64), (keys & kind((1 << bits) - 1)).astype(np.int64), np.diff(first, append=len(row))
+
+
 def corpus_statistics(encoded: DataFrame) -> Statistics:
     """Counted by task and summed; term -1 stands for documents, -2 for tokens."""
     schema = "term bigint, n bigint"
@@ -260,12 +276,11 @@ def corpus_statistics(encoded: DataFrame) -> Statistics:
     def run(batches):
         df, n, tokens = np.zeros(0, np.int64), 0, 0
         for batch in batches:
-            for size, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                terms = np.unique(tokens_of(ids, size))
-                if terms[-1] >= len(df):
-                    df = np.pad(df, (0, 2 * int(terms[-1]) + 1 - len(df)))
-                df[terms] += 1
-                n, tokens = n + 1, tokens + size
+            for at in range(0, batch.num_rows, ROWS):
+                starts, ids = ids_of(*batch.slice(at, ROWS).columns)
+                found = np.bincount(count_terms(starts, ids)[1], minlength=len(df))
+                found[: len(df)] += df
+                df, n, tokens = found, n + len(starts) - 1, tokens + int(starts[-1])
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(df[at], [n, tokens]))], schema=fields)
 
@@ -285,11 +300,14 @@ class Projector:
         self.statistics = statistics
         self.signs = np.random.default_rng(0).choice(np.array([-1, 1], np.float32), (len(statistics.df), DIMS))
 
-    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(docs), DIMS), np.float32)
-        for i, ids in enumerate(docs):
-            term, tf = np.unique(ids, return_counts=True)
-            out[i] = self.statistics.weights(term, tf, len(ids)).astype(np.float32) @ self.signs[term]
+    def vectors(self, starts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        sizes = np.diff(starts)
+        row, term, tf = count_terms(starts, ids)
+        weights = self.statistics.weights(term, tf, sizes[row]).astype(np.float32)
+        stops = np.searchsorted(row, np.arange(len(starts)))
+        out = np.zeros((len(sizes), DIMS), np.float32)
+        for i, (start, stop) in enumerate(zip(stops.tolist(), stops[1:].tolist())):
+            out[i] = weights[start:stop] @ self.signs[term[start:stop]]
         return unit(out)
 
 
@@ -351,7 +369,7 @@ class Router:
         return first + salt % parts
 
 
-def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
+def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: int = SHARD_TOKENS, rows: int = ROWS) -> DataFrame:
     """``encoded`` with the shard of each document."""
     if statistics.tokens <= shard_tokens:
         return encoded.withColumn("shard", F.lit(0).cast("bigint"))
@@ -363,9 +381,9 @@ def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: in
         projector = Projector(known.value)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                sizes, ids = (c.to_pylist() for c in batch.slice(at, rows).columns)
-                x = projector.vectors([tokens_of(i, n) for i, n in zip(ids, sizes)])
-                yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())], schema=sample_fields)
+                part = batch.slice(at, rows)
+                x = projector.vectors(*ids_of(*part.columns))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x], pa.binary())], schema=sample_fields)
 
     sample_fields = arrow_schema("size bigint, x binary")
     picked = encoded if share == 1.0 else encoded.sample(share, seed=7)
@@ -382,9 +400,8 @@ def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: in
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                sizes, ids = part.column(1).to_pylist(), part.column(2).to_pylist()
-                shard = tree.value.route(projector.vectors([tokens_of(i, n) for i, n in zip(ids, sizes)]), salt + np.arange(len(ids)))
-                salt += len(ids)
+                shard = tree.value.route(projector.vectors(*ids_of(part.column(1), part.column(2))), salt + np.arange(part.num_rows))
+                salt += part.num_rows
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(shard)], schema=fields)
         del projector
         give_back()
@@ -392,11 +409,11 @@ def route_documents(encoded: DataFrame, statistics: Statistics, shard_tokens: in
     return encoded.select("doc_id", "size", "ids").mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = 128) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, rows: int = ROWS) -> DataFrame:
     """Pieces of all documents; ``with_ids`` adds the token ids of each piece."""
     schema = PIECES + (", ids array<int>" if with_ids else "")
     fields = arrow_schema(schema)
-    encoded = encode_documents(docs, tokenizer_path, rows)
+    encoded = encode_documents(docs, tokenizer_path)
     statistics = corpus_statistics(encoded)
     routed = route_documents(encoded, statistics, shard_tokens, rows)
     known = docs.sparkSession.sparkContext.broadcast(statistics)
