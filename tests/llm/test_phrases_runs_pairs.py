@@ -8,12 +8,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from wickframe.llm import collocations as col
-from wickframe.llm import pair_bpe, periodic_runs
+from wickframe.llm import pair_bpe, periodic_runs, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "a " * 3000), (4, "a " * 3000), (None, "x y x y x y x y"), (6, "Ünï Σ ΑΣ <|endoftext|> don't")]
@@ -230,6 +231,25 @@ def test_pair_index_equals_library(library):
             assert bpe.decode(ids) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_words_of_small_letters_are_merged_together(library):
+    """Only other words are split one by one; ids do not depend on the parts that texts come in."""
+    rng = random.Random(2)
+    letters = ["".join(rng.choice("etaoinéßüç") for _ in range(rng.choice((1, 5, 9, 14, 30, 41, 90)))) for _ in range(400)]
+    texts = [" ".join(rng.choice(letters) + rng.choice(("", "", ".", ",")) for _ in range(50)) for _ in range(40)] + ["", "12 it's", "<|endoftext|> A.b", " "]
+    bpe, split = pair_bpe.PairIndexBpe(PATH, memo=3), []
+    plain = bpe._split
+    bpe._split = lambda word: split.append(word) or plain(word)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in bpe.encode_all(texts)] == want
+    assert {".", "12", "it's", "<|endoftext|>"} < set(split) and not any(w.isalpha() and w.islower() for w in split)
+    for size in (1, 300):
+        column = pa.array([None, *(t.encode() for t in texts)], pa.binary())
+        got = [r for i, j in words.parts(column, size) for r in words.rows_of(bpe.encode_array(column.slice(i, j - i), b"\1\0\0\0"))]
+        assert [np.frombuffer(r, "<u4").tolist() for r in got] == [[1], *([*w, 1] for w in want)]
+    broken = pa.array([b"ab\xc3", b"\xa9a", b"\xff a"], pa.binary())  # no UTF-8: replaced, text by text
+    assert words.rows_of(bpe.encode_array(broken)) == bpe.encode_all(["ab\ufffd", "\ufffda", "\ufffd a"])
+
+
 def test_pair_index_query(spark, sf, library):
     docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     found = {r.doc_id: r for r in pair_bpe.op13_pair_bpe(spark, sf).collect()}

@@ -87,15 +87,20 @@ class Shard:
     def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
         self.n = len(docs)
         sizes = np.array([len(d) for d in docs], np.int64)
-        term = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(self.n), sizes)
-        pairs, tf = np.unique(term * self.n + doc, return_counts=True)
-        self.term, first, df = np.unique(pairs // max(self.n, 1), return_index=True, return_counts=True)
+        starts = np.append(0, sizes.cumsum())
+        ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
+        if len(ids) and ids.max() < 1 << 16:
+            ids = ids.astype(np.uint16)
+        doc, term, tf = count_terms(starts, ids)
+        # postings by term, and the terms of each document, as places in ``term``
+        order = np.argsort(term.astype(ids.dtype), kind="stable")
+        self.term, df = np.unique(term, return_counts=True)
+        numbers = np.searchsorted(self.term, term)
+        self.terms = np.split(numbers.astype(np.int32), np.searchsorted(doc, np.arange(1, self.n)))
+        first = np.cumsum(df) - df
         self.first, self.df = first, df
-        self.doc = pairs % max(self.n, 1)
-        # terms of each document, as places in ``term``
-        numbers = np.repeat(np.arange(len(df), dtype=np.int32), df)
-        self.terms = np.split(numbers[np.argsort(self.doc, kind="stable")], np.bincount(self.doc, minlength=self.n).cumsum()[:-1])
+        self.doc, tf = doc[order], tf[order]
+        numbers = numbers[order]
         self.last = first + df
         if statistics is None:
             own = np.zeros(int(self.term[-1]) + 1 if len(self.term) else 0, np.int64)
@@ -304,8 +309,8 @@ class Projector:
         sizes = np.diff(starts)
         row, term, tf = count_terms(starts, ids)
         weights = self.statistics.weights(term, tf, sizes[row]).astype(np.float32)
-        stops = np.searchsorted(row, np.arange(len(starts)))
         out = np.zeros((len(sizes), DIMS), np.float32)
+        stops = np.searchsorted(row, np.arange(len(starts)))
         for i, (start, stop) in enumerate(zip(stops.tolist(), stops[1:].tolist())):
             out[i] = weights[start:stop] @ self.signs[term[start:stop]]
         return unit(out)

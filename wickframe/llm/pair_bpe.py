@@ -214,11 +214,13 @@ class PairIndexBpe:
         while len(rows):
             least = (index + places[: len(index)]).min(0)  # the lowest rank of each piece, the leftmost of equal ones
             live = least < NONE
-            if not live.all():
-                ids = symbols[:, ~live].T
+            done = np.flatnonzero(~live)
+            if len(done):
+                ids = symbols.take(done, 1).T
                 kept = ids != self.size
-                yield rows[~live], ids[kept], kept.sum(1)
-                rows, symbols, index, least = rows[live], symbols[:, live], index[:, live], least[live]
+                yield rows[done], ids[kept], kept.sum(1)
+                live = np.flatnonzero(live)
+                rows, symbols, index, least = rows[live], symbols.take(live, 1), index.take(live, 1), least[live]
                 if not len(rows):
                     break
             at, made = least & ((1 << PLACE) - 1), self.made[least >> PLACE]

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text, and texts, that are split together.
-PART, ROWS = 8 << 20, 20_000
+PART, ROWS = 16 << 20, 20_000
 
 SPACE, LETTER, MARK = 1, 2, 3
 KIND = np.zeros(256, np.uint8)
