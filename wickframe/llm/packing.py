@@ -24,6 +24,7 @@ windows of its own; columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -298,12 +299,18 @@ def corpus_statistics(encoded: DataFrame) -> Statistics:
     return Statistics(found.get(-1, 0), found.get(-2, 0), df)
 
 
+@functools.lru_cache(maxsize=1)
+def random_signs(terms: int) -> np.ndarray:
+    """Made once a process."""
+    return np.random.default_rng(0).choice(np.array([-1, 1], np.float32), (terms, DIMS))
+
+
 class Projector:
     """Unit vectors of documents: BM25 weights under random signs by term."""
 
     def __init__(self, statistics: Statistics):
         self.statistics = statistics
-        self.signs = np.random.default_rng(0).choice(np.array([-1, 1], np.float32), (len(statistics.df), DIMS))
+        self.signs = random_signs(len(statistics.df))
 
     def vectors(self, starts: np.ndarray, ids: np.ndarray) -> np.ndarray:
         sizes = np.diff(starts)
